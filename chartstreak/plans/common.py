@@ -48,10 +48,10 @@ def chart_cols_sql(alias: str = "") -> str:
                      for n in names)
 
 
-def hits_sql(top_n: int, run: int) -> str:
-    """CTEs ``hits`` (date-order streak detector) over ``chart``."""
+def hits_sql(top_n: int, run: int, source: str = "chart") -> str:
+    """CTEs ``hits`` (date-order streak detector) over the CTE ``source``."""
     return f"""
-    st_top as (select * from chart where dailyRank <= {top_n}),
+    st_top as (select * from {source} where dailyRank <= {top_n}),
     st_isl as (select *, snapshotDate - cast(row_number() over (
                  partition by country, spotifyId order by snapshotDate) as integer) as island
                from st_top),

@@ -68,3 +68,14 @@ def hits_sql(top_n: int, run: int, source: str = "chart") -> str:
                     d.dayList as consecutiveHitDaysList, true as hit
              from st_trig t join st_days d using (country, spotifyId)
              where t.snapshotDate = t.triggerDay)"""
+
+
+def labelled_sql(top_n: int, run: int, source: str = "chart") -> str:
+    """CTEs ``hits`` and ``labelled`` (final mode, annotate) over ``source``."""
+    return hits_sql(top_n, run, source) + f""",
+    labelled as (
+      select c.*, h.country is not null as hit,
+             cast(coalesce(h.consecutiveHitDaysCount, 0) as integer) as consecutiveHitDaysCount,
+             coalesce(h.consecutiveHitDaysList, '') as consecutiveHitDaysList
+      from {source} c left join (select country, spotifyId, consecutiveHitDaysCount, consecutiveHitDaysList
+                                  from hits) h using (country, spotifyId))"""

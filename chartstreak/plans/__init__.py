@@ -1,4 +1,4 @@
 """Registered queries (``REGISTRY``): name -> (build(spark, sf_dir), oracle SQL | None)."""
 
-from chartstreak.plans import ingest_queries, json_queries, profile_queries  # noqa: F401  (registers)
+from chartstreak.plans import ingest_queries, json_queries, ml_queries, profile_queries  # noqa: F401  (registers)
 from chartstreak.plans.queries import REGISTRY  # noqa: F401

@@ -129,3 +129,37 @@ def q_label_causal(spark, sf_dir):
 @register("label_replace", _label_sql("final", "replace"))
 def q_label_replace(spark, sf_dir):
     return flat(labelled(spark, sf_dir, "final", "replace"))
+
+
+# --- general order with restatements (W3) -----------------------------------
+
+def restated_chart(spark, sf_dir):
+    """The chart plus a restatement of every row ranked by event count.
+
+    ``seq`` orders arrival: day d's original rows at 2*d, its restatement at
+    2*d + 3 (after day d+1's originals), so dates repeat per key and a
+    restated rank outside the top N retracts an earlier top day.
+    """
+    from chartstreak.sources.chart import NARROW_SONGS, load_table
+    from pyspark.sql import Window
+
+    chart = load_chart(spark, sf_dir)
+    ev = load_table(spark, sf_dir, "events")
+    counts = (ev.groupBy(F.col("event_type").alias("country"),
+                         F.concat(F.lit("S"), (F.col("user_id") % NARROW_SONGS).cast("string")).alias("spotifyId"),
+                         F.to_date("ts").alias("snapshotDate"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    day = Window.partitionBy("country", "snapshotDate").orderBy(F.desc("n"), F.asc("spotifyId"))
+    rerank = counts.withColumn("newRank", F.row_number().over(day)).drop("n")
+    base = F.datediff("snapshotDate", F.lit("2000-01-01"))
+    restated = (chart.join(rerank, ["country", "spotifyId", "snapshotDate"])
+                .withColumn("dailyRank", F.col("newRank").cast("int")).drop("newRank")
+                .withColumn("seq", base * 2 + 3))
+    return chart.withColumn("seq", base * 2).unionByName(restated)
+
+
+@register("hit_detect_retract", None)
+def q_hit_detect_retract(spark, sf_dir):
+    """W1 + W3 + O3 in arrival order with repeated days (checked against a
+    brute-force state machine in tests/)."""
+    return flat(streaks.detect_hits_ordered(restated_chart(spark, sf_dir), "seq"))

@@ -52,7 +52,7 @@ def write_daily_files(spark: SparkSession, rows: DataFrame, path: str | None = N
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType = CHART_SCHEMA,
-                max_files_per_trigger: int | None = 8) -> DataFrame:
+                max_files_per_trigger: int | None = 200) -> DataFrame:
     """New JSON files in ``path`` as a streaming DataFrame."""
     r = spark.readStream.schema(schema).options(**JSON_OPTIONS)
     if max_files_per_trigger:

@@ -42,12 +42,17 @@ def write_daily_files(spark: SparkSession, rows: DataFrame, path: str | None = N
     """Write rows as JSON files, one append per day in date order.
 
     File-stream sources take files oldest first, so a stream over this folder
-    sees each key's days in order (within a day a key has one row).
+    sees each key's days in order (within a day a key has one row). The rows
+    are staged once as Parquet partitioned by day; each day's append then
+    reads only its own partition.
     """
     path = path or shared_path(spark, "stream-in")
-    days = sorted(r[0] for r in rows.select("snapshotDate").distinct().collect())
+    stage = shared_path(spark, "stream-stage")
+    rows.write.mode("overwrite").partitionBy("snapshotDate").parquet(stage)
+    staged = spark.read.parquet(stage).select(*rows.columns)
+    days = sorted(r[0] for r in staged.select("snapshotDate").distinct().collect())
     for d in days:
-        rows.where(F.col("snapshotDate") == F.lit(d)).write.mode("append").options(**JSON_OPTIONS).json(path)
+        staged.where(F.col("snapshotDate") == F.lit(d)).write.mode("append").options(**JSON_OPTIONS).json(path)
     return path
 
 

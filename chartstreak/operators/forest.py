@@ -73,17 +73,21 @@ def train_per_country(spark: SparkSession, labelled: DataFrame, params: ForestPa
     gate = classify.training_gate(labelled, by).checkpoint(eager=True)
     train_path = training_table(spark, labelled, by=by)
     countries = [r[by] for r in gate.where(F.col("gate") == classify.TRAIN).select(by).collect()]
-    model_path = shared_path(spark, "forest-models") if save_models else None
+    # Models always go to the shared folder and are used as re-loaded: a
+    # freshly fitted model keeps its training summary, which refers back to
+    # the session, and once the session has run an Observation that
+    # reference can no longer be serialised when transform() broadcasts the
+    # model. A loaded model carries no summary.
+    model_path = shared_path(spark, "forest-models")
 
     def fit(c):
         m = fit_country(spark, train_path, c, params, by)
-        if model_path:
-            m.write().overwrite().save(f"{model_path}/{by}={c}")
-        return c, m
+        m.write().overwrite().save(f"{model_path}/{by}={c}")
+        return c, RandomForestClassificationModel.load(f"{model_path}/{by}={c}")
 
     with ThreadPoolExecutor(max_workers=max(1, params.parallelism)) as pool:
         models = dict(pool.map(fit, sorted(countries)))
-    return ForestRun(train_path, gate, models, model_path)
+    return ForestRun(train_path, gate, models, model_path if save_models else None)
 
 
 def importances(spark: SparkSession, run: ForestRun, by: str = "country") -> DataFrame:
@@ -106,8 +110,10 @@ def predict(run: ForestRun, rows: DataFrame, by: str = "country") -> DataFrame:
 
 def predict_samples(run: ForestRun, labelled: DataFrame, by: str = "country") -> DataFrame:
     """L5 + F27: the first hit and first row of each trained country, predicted."""
+    # Two rows per country: materialised once, so the per-country scoring
+    # branches below do not each re-derive them from the whole chart.
     samples = classify.first_of_group(labelled, by).select(
-        by, "sample", "spotifyId", "name", "snapshotDate", *feature_columns())
+        by, "sample", "spotifyId", "name", "snapshotDate", *feature_columns()).checkpoint(eager=True)
     scored = predict(run, samples, by)
     if scored is None:
         return samples.select(by, "sample", "spotifyId", "name", F.lit(None).cast("int").alias("prediction"),

@@ -39,10 +39,10 @@ def test_query_matches_oracle(spark, name):
         con.execute(f"create view {t} as select * from read_parquet('{SF001}/{t}.parquet')")
     df = entry.queries()[name](spark, SF001)
     cols = df.columns
-    s = sorted(tuple(_norm(r[c]) for c in sorted(cols)) for r in df.collect())
+    s = sorted((tuple(_norm(r[c]) for c in sorted(cols)) for r in df.collect()), key=repr)
     res = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == sorted(cols)
     idx = [ocols.index(c) for c in sorted(cols)]
-    o = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
+    o = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert s == o

@@ -39,23 +39,35 @@ POLL = "30 seconds"
 
 
 def write_daily_files(spark: SparkSession, rows: DataFrame, path: str | None = None) -> str:
-    """Write rows as JSON files, one append per day in date order.
+    """Write rows as JSON files in one folder per day, oldest day first.
 
-    File-stream sources take files oldest first, so a stream over this folder
-    sees each key's days in order (within a day a key has one row). The rows
-    are staged once as Parquet partitioned by day; each day's append then
-    reads only its own partition.
+    One distributed write, partitioned by ``snapshotDate``. File-stream
+    sources take files oldest first by modification time, so each day's
+    files are then stamped one second after the previous day's (file
+    metadata only, no data passes the driver). A stream over this folder
+    thus sees each key's days in order (within a day a key has one row).
     """
     path = path or shared_path(spark, "stream-in")
-    stage = shared_path(spark, "stream-stage")
-    rows.write.mode("overwrite").partitionBy("snapshotDate").parquet(stage)
-    staged = spark.read.parquet(stage).select(*rows.columns)
-    days = sorted(r[0] for r in staged.select("snapshotDate").distinct().collect())
-    for d in days:
-        staged.where(F.col("snapshotDate") == F.lit(d)).write.mode("append").options(**JSON_OPTIONS).json(path)
+    rows.write.mode("overwrite").partitionBy("snapshotDate").options(**JSON_OPTIONS).json(path)
+    _stamp_days_in_order(spark, path)
     return path
 
 
+def _stamp_days_in_order(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    day_dirs = sorted((st.getPath() for st in fs.listStatus(root)
+                       if st.isDirectory() and st.getPath().getName().startswith("snapshotDate=")),
+                      key=lambda p: p.getName())
+    base = int(dt.datetime.now().timestamp() * 1000) - 1000 * (len(day_dirs) + 1)
+    for i, d in enumerate(day_dirs):
+        for st in fs.listStatus(d):
+            name = st.getPath().getName()
+            if st.isFile() and not name.startswith((".", "_")):
+                fs.setTimes(st.getPath(), base + 1000 * i, -1)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType = CHART_SCHEMA,
                 max_files_per_trigger: int | None = 200) -> DataFrame:
     """New JSON files in ``path`` as a streaming DataFrame."""

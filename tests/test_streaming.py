@@ -57,3 +57,20 @@ def test_stream_hits_equal_batch(spark):
     want = sorted((r["country"], r["spotifyId"], list(r["consecutiveHitDaysList"]))
                   for r in streaks.detect_hits(chart, 10, 2).collect())
     assert got == want and got
+
+
+def test_stream_hits_one_day_per_batch(spark):
+    """Files are taken oldest day first: one file per micro-batch still gives the batch hits."""
+    st.use_rocksdb(spark)
+    chart = load_chart(spark, SF001)
+    src = st.write_daily_files(spark, chart.coalesce(1))
+    stream = st.file_stream(spark, src, max_files_per_trigger=1)
+    out, q = st.stream_to_parquet(spark, st.hit_stream(stream, 10, 2), "t-hits-1")
+    st.drain(q, 600)
+    assert len(q.recentProgress) > 1
+    cols = ("country", "spotifyId", "snapshotDate", "consecutiveHitDaysCount")
+    got = sorted(tuple(r[c] for c in cols) + (list(r["consecutiveHitDaysList"]),)
+                 for r in spark.read.schema(LABELLED_SCHEMA).parquet(out).collect())
+    want = sorted(tuple(r[c] for c in cols) + (list(r["consecutiveHitDaysList"]),)
+                  for r in streaks.detect_hits(chart, 10, 2).collect())
+    assert got == want and got

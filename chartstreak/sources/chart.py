@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartstreak.schemas import CHART_FIELDS
+from chartstreak.session import shared_path
 
 # --- fixed values: fixture rules (shared with the SQL oracles) -------------
 NARROW_SONGS = 12                      # song = user_id % 12
@@ -34,19 +35,62 @@ def daily_song_totals(events: DataFrame, songs: int | None = NARROW_SONGS) -> Da
             .agg(F.round(F.sum("value"), 2).alias("s")))
 
 
+GROUP = ["country", "snapshotDate"]
+BROADCAST_MAX_PIECES = 1_000_000
+
+
+def window_rank(totals: DataFrame) -> DataFrame:
+    """dailyRank by a window per (country, day): for small, bounded groups."""
+    day = Window.partitionBy(*GROUP).orderBy(F.desc("s"), F.asc("song"))
+    return totals.withColumn("dailyRank", F.row_number().over(day).cast("int"))
+
+
+def distributed_rank(totals: DataFrame, broadcast_max_pieces: int = BROADCAST_MAX_PIECES) -> DataFrame:
+    """dailyRank without putting a (country, day) group into one task.
+
+    A global sort range-partitions the rows (Spark samples the keys, so one
+    huge day is spread over many tasks) and numbers them in order. The
+    numbered rows are written once to the shared folder: ``_id`` and
+    ``_pid`` are then plain columns, fixed even if executors are lost. A
+    rank is the row's offset inside its partition plus the rows of its group
+    in earlier partitions. That offset table has one row per (group,
+    partition) piece, at most groups + partitions rows; it is written,
+    counted and broadcast only under ``broadcast_max_pieces``.
+    """
+    spark = totals.sparkSession
+    numbered_path = shared_path(spark, "chart-numbered")
+    (totals.orderBy(F.asc("country"), F.asc("snapshotDate"), F.desc("s"), F.asc("song"))
+     .withColumn("_id", F.monotonically_increasing_id())
+     .withColumn("_pid", F.spark_partition_id())
+     .write.parquet(numbered_path))
+    numbered = spark.read.parquet(numbered_path)
+    earlier = Window.partitionBy(*GROUP).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces_path = shared_path(spark, "chart-rank-pieces")
+    (numbered.groupBy(*GROUP, "_pid")
+     .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+     .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+     .drop("_n")
+     .write.parquet(pieces_path))
+    pieces = spark.read.parquet(pieces_path)
+    if pieces.count() <= broadcast_max_pieces:
+        pieces = F.broadcast(pieces)
+    return (numbered.join(pieces, [*GROUP, "_pid"])
+            .withColumn("dailyRank", (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("int"))
+            .drop("_id", "_pid", "_first", "_before"))
+
+
 def chart_from_events(events: DataFrame, songs: int | None = NARROW_SONGS) -> DataFrame:
     """The 19-field chart (``schemas.CHART_SCHEMA``) derived from events."""
     totals = daily_song_totals(events, songs)
     # A (country, day) group holds one row per song that day: at most `songs`
-    # rows for the narrow chart; for the wide chart, the day's active users.
-    day = Window.partitionBy("country", "snapshotDate").orderBy(F.desc("s"), F.asc("song"))
+    # rows for the narrow chart (a window is fine); for the wide chart, the
+    # day's active users, so it is ranked without a per-group window.
+    ranked = window_rank(totals) if songs else distributed_rank(totals)
     code = F.lit(4)
     for name, c in sorted(COUNTRY_CODE.items(), key=lambda kv: -kv[1]):
         code = F.when(F.col("country") == name, F.lit(c)).otherwise(code)
     x = F.col("song") * 5 + code
-    ranked = (totals
-              .withColumn("dailyRank", F.row_number().over(day).cast("int"))
-              .withColumn("x", x))
+    ranked = ranked.withColumn("x", x)
 
     def pct(mult):
         return ((x * mult) % 101).cast("double") / 100

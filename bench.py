@@ -32,7 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, driver_memory="16g")
     # warm-up: JVM, codegen caches
     labelled(spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

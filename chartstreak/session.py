@@ -2,8 +2,8 @@
 
 Intermediate tables (CSV/JSON round trips, checkpoints, stream sinks and
 checkpoints, saved models) go below the folder the cluster names in
-``spark.checkpoint.dir``. Only when that is unset (local tests) do we create
-one ourselves.
+``spark.checkpoint.dir``. Only a local session (tests) may go without that
+setting; it gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -12,14 +12,16 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "chartstreak") -> SparkSession:
+
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                app_name: str = "chartstreak", driver_memory: str | None = None) -> SparkSession:
+    """A session with adaptive execution; sizes are the cluster's unless given."""
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -27,8 +29,11 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if master:
         builder = builder.master(master)
     spark = builder.getOrCreate()
@@ -38,7 +43,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """The shared checkpoint folder; a local one is made only for a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,12 +54,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random sub folder; use its parent.
         return os.path.dirname(current.rstrip("/"))
-    # Unset (local tests only): a fresh local folder for this session.
+    if not (sc.master.startswith("local[") or sc.master == "local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = tempfile.mkdtemp(prefix="chartstreak-ckpt-")
     sc.setCheckpointDir(base)
+    _delete_at_end(spark, base)
     return base
 
 
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Ask the file system to remove ``path`` when the application ends."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared folder; removed when the application ends."""
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _delete_at_end(spark, path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table whose readers are done."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage is cut, survives lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def workers_import_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the driver's checkout is visible to them.
+
+    On a cluster without a common checkout ship the package with ``--py-files``.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_HOME not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])

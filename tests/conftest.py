@@ -13,6 +13,6 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from chartstreak.session import get_session
-    s = get_session("local[*]", shuffle_partitions=8)
+    s = get_session("local[*]", shuffle_partitions=8, driver_memory="8g")
     yield s
     s.stop()

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from chartstreak.llm.byte_bpe import op8_byte_bpe
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from chartstreak.llm.packing import op5_best_fit_packing
+from chartstreak.llm.warc import op9_warc_index
 
 REGISTRY = {
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
+    "op5_best_fit_packing": (op5_best_fit_packing, None),
+    "op8_byte_bpe": (op8_byte_bpe, None),
+    "op9_warc_index": (op9_warc_index, None),
 }

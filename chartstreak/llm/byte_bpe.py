@@ -31,10 +31,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartstreak.llm.common import quoted, table, text_of
+from chartstreak.llm.common import Generations, quoted, table, text_of
 from chartstreak.session import workers_import_package
 
-WORDS_KEPT = 500_000
+WORDS_KEPT = 300_000
 LONGEST_KEPT = 64
 BORDER = "Ā"  # not a Latin-1 character, so in no token
 
@@ -77,8 +77,7 @@ class ByteBpe:
         self.automaton.make_automaton()
         self.fast, self.full = latin1_pattern(pattern), unicode_pattern(pattern)
         self.known: dict = {}
-        self.words: dict = {}
-        self.older: dict = {}
+        self.words = Generations(WORDS_KEPT)
         self._halves(ranks)
 
     def _halves(self, ranks: dict) -> None:
@@ -180,15 +179,14 @@ class ByteBpe:
         return (self.full if BEYOND_LATIN1.search(text) else self.fast).findall(text)
 
     def encode(self, text: str) -> list:
-        words, memo = self.split(text), self.words
-        parts = list(map(memo.get, words))
+        words = self.split(text)
+        parts = list(map(self.words.young.get, words))
         if None in parts:
-            lost = {w for w, p in zip(words, parts) if p is None}
-            found = {w: self.older[w] for w in lost if w in self.older}
-            found |= self._new_words([w for w in lost if w not in found])
-            if len(memo) > WORDS_KEPT:
-                self.older, self.words = memo, {}
-            self.words.update((w, p) for w, p in found.items() if len(w) <= LONGEST_KEPT)
+            found = {w: self.words.get(w) for w in {w for w, p in zip(words, parts) if p is None}}
+            found |= self._new_words([w for w, p in found.items() if p is None])
+            for w, p in found.items():
+                if len(w) <= LONGEST_KEPT:
+                    self.words.keep(w, p)
             parts = [found[w] if p is None else p for w, p in zip(words, parts)]
         return list(chain.from_iterable(parts))
 

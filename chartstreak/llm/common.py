@@ -25,3 +25,21 @@ def fresh(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+class Generations:
+    """A bounded memo: a full young generation becomes the old one; hits in the old one are renewed."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

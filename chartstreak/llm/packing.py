@@ -23,50 +23,87 @@ table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartstreak.llm.common import quoted, table, text_of
+from chartstreak.llm.common import Generations, quoted, table, text_of
 from chartstreak.session import materialise, workers_import_package
 
 CAPACITY = 4096
 END_ID = 1
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 LONGEST_KEPT = 64
 
 _encoders: dict = {}
 
 
+# The tokenizer's word pattern and byte alphabet, for words within Latin-1 (lower case, no white space).
+L1_WORD = re.compile("[!-~\xa1-\xff]+")
+L1_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                      "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in PRINTED} | {b: chr(256 + n) for n, b in enumerate(
+    b for b in range(256) if b not in PRINTED)}
+
+
+def _bytes(ids) -> bytes:
+    return b"".join(i.to_bytes(4, "little") for i in ids)
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes, words encoded once per worker.
 
     The tokenizer drops white space and no match or normal form reaches across
     a blank, so a text's ids are those of its blank-separated words in order.
-    The memo holds at most ``WORDS_KEPT`` words of ``LONGEST_KEPT`` characters.
+    A new word within Latin-1 is lowered and split as the tokenizer does, and
+    only its new parts go to the tokenizer's model; any other new word goes
+    through the whole tokenizer. Two generations of at most ``WORDS_KEPT``
+    words and parts are remembered, so memory is bounded and frequent words stay.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.memo: dict = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words, self.parts = Generations(WORDS_KEPT), Generations(WORDS_KEPT)
+
+    def _part(self, part: str) -> bytes:
+        code = self.parts.get(part)
+        if code is None:
+            spelt = part if part.isascii() else "".join(map(BYTE_CHARS.__getitem__, part.encode()))
+            code = _bytes([t.id for t in self.tokenizer.model.tokenize(spelt)])
+            if len(part) <= LONGEST_KEPT:
+                self.parts.keep(part, code)
+        return code
+
+    def _new_word(self, word: str) -> bytes:
+        if not word:
+            return b""
+        if L1_WORD.fullmatch(word) and not any(s in word for s in self.special):
+            return b"".join(map(self._part, L1_TOKEN.findall(word.lower())))
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        memo = self.memo
-        parts = list(map(memo.get, words))
-        if None in parts:
-            missing = list({w for w, p in zip(words, parts) if p is None})
-            codes = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            found = {w: b"".join(i.to_bytes(4, "little") for i in c.ids) for w, c in zip(missing, codes)}
-            if len(memo) > WORDS_KEPT:
-                memo.clear()
-            memo.update((w, b) for w, b in found.items() if len(w) <= LONGEST_KEPT)
-            parts = [found[w] if p is None else p for w, p in zip(words, parts)]
-        return b"".join(parts)
+        codes = list(map(self.words.young.get, words))
+        if None in codes:
+            found: dict = {}
+            for n, (word, code) in enumerate(zip(words, codes)):
+                if code is None:
+                    code = found.get(word)
+                    if code is None:
+                        code = self.words.get(word)
+                        found[word] = code = self._new_word(word) if code is None else code
+                    codes[n] = code
+            for word, code in found.items():
+                if len(word) <= LONGEST_KEPT:
+                    self.words.keep(word, code)
+        return b"".join(codes)
 
 
 def _encoder(vocabulary: str) -> WordEncoder:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from chartstreak.llm.byte_bpe import op8_byte_bpe
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from chartstreak.llm.language_id import op10_language_id
 from chartstreak.llm.packing import op5_best_fit_packing
 from chartstreak.llm.warc import op9_warc_index
 
@@ -12,4 +13,5 @@ REGISTRY = {
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op8_byte_bpe": (op8_byte_bpe, None),
     "op9_warc_index": (op9_warc_index, None),
+    "op10_language_id": (op10_language_id, None),
 }

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from chartstreak.llm.byte_bpe import op8_byte_bpe
 from chartstreak.llm.chat_format import OP2_SQL, op2_chat_format
+from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from chartstreak.llm.language_id import op10_language_id
 from chartstreak.llm.packing import op5_best_fit_packing
 from chartstreak.llm.warc import op9_warc_index
 
 REGISTRY = {
+    "op1_embedding_dedup": (op1_embedding_dedup, OP1_SQL),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op5_best_fit_packing": (op5_best_fit_packing, None),

@@ -8,12 +8,14 @@ from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from chartstreak.llm.language_id import op10_language_id
 from chartstreak.llm.packing import op5_best_fit_packing
+from chartstreak.llm.substring_dedup import op4_substring_dedup
 from chartstreak.llm.warc import op9_warc_index
 
 REGISTRY = {
     "op1_embedding_dedup": (op1_embedding_dedup, OP1_SQL),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
+    "op4_substring_dedup": (op4_substring_dedup, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op8_byte_bpe": (op8_byte_bpe, None),
     "op9_warc_index": (op9_warc_index, None),

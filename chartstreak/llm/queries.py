@@ -7,6 +7,7 @@ from chartstreak.llm.chat_format import OP2_SQL, op2_chat_format
 from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from chartstreak.llm.language_id import op10_language_id
+from chartstreak.llm.minhash_dedup import op7_minhash_dedup
 from chartstreak.llm.packing import op5_best_fit_packing
 from chartstreak.llm.substring_dedup import op4_substring_dedup
 from chartstreak.llm.warc import op9_warc_index
@@ -17,6 +18,7 @@ REGISTRY = {
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op4_substring_dedup": (op4_substring_dedup, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
+    "op7_minhash_dedup": (op7_minhash_dedup, None),
     "op8_byte_bpe": (op8_byte_bpe, None),
     "op9_warc_index": (op9_warc_index, None),
     "op10_language_id": (op10_language_id, None),

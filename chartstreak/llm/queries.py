@@ -6,6 +6,7 @@ from chartstreak.llm.byte_bpe import op8_byte_bpe
 from chartstreak.llm.chat_format import OP2_SQL, op2_chat_format
 from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from chartstreak.llm.html_extract import op6_html_extract
 from chartstreak.llm.language_id import op10_language_id
 from chartstreak.llm.minhash_dedup import op7_minhash_dedup
 from chartstreak.llm.packing import op5_best_fit_packing
@@ -18,6 +19,7 @@ REGISTRY = {
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op4_substring_dedup": (op4_substring_dedup, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
+    "op6_html_extract": (op6_html_extract, None),
     "op7_minhash_dedup": (op7_minhash_dedup, None),
     "op8_byte_bpe": (op8_byte_bpe, None),
     "op9_warc_index": (op9_warc_index, None),

@@ -157,14 +157,18 @@ class Page:
 
 
 def fold(keys: list) -> list:
-    """(key, begin, end) items; a run of repeats becomes one item whose key is ``("+", body)``."""
+    """(key, begin, end) items; a run of repeats becomes one item whose key is ``("+", body)``.
+
+    A body of several tokens starts with a tag, so that a block keeps its text.
+    """
     items = [(k, i, i + 1) for i, k in enumerate(keys)]
     for _ in range(3):
         out: list = []
         i, n = 0, len(items)
         names = [x[0] for x in items]
         while i < n:
-            for period in range(1, min(LONGEST_PERIOD, (n - i) // 2) + 1):
+            longest = 1 if names[i] == TEXT else LONGEST_PERIOD
+            for period in range(1, min(longest, (n - i) // 2) + 1):
                 if names[i] == names[i + period] and names[i:i + period] == names[i + period:i + 2 * period]:
                     end = i + 2 * period
                     while names[end:end + period] == names[i:i + period]:
@@ -306,12 +310,13 @@ def _within(slot: str, tags: set, names: set) -> bool:
 
 
 def article_slots(slots: set, stats: dict) -> set:
-    """The slots that hold the article. ``stats``: slot -> (same text on all pages, share of link text)."""
+    """The slots that hold the article. ``stats``: slot -> (always the same text, share of link text)."""
     open_slots = {s for s in slots if not apart(s)}
     for tags, names in ((ARTICLE_TAGS, set()), (set(), ARTICLE_NAMES)):
         if any(_within(s, tags, names) for s in open_slots):
             return {s for s in open_slots if _within(s, tags, names)}
-    return {s for s in open_slots if s not in stats or (not stats[s][0] and stats[s][1] < 0.5)}
+    texts = {s for s in open_slots if s not in stats or stats[s][1] < 0.5}
+    return {s for s in texts if s not in stats or not stats[s][0]} or texts
 
 
 def _plain(key):
@@ -341,7 +346,9 @@ def extract(source: str, wrapper: list, held: set, stats: dict) -> str:
     return "\n".join(out)
 
 
-STREAM = "host string, code long, stream string, slots array<struct<slot:string,low:long,high:long,chars:long,links:long>>"
+SLOT = ("slot", "low", "high", "chars", "links", "texts")
+STREAM = ("host string, code long, stream string, "
+          f"slots array<struct<slot:string,{','.join(f'{c}:long' for c in SLOT[1:])}>>")
 
 
 def _streams(batches):
@@ -353,11 +360,11 @@ def _streams(batches):
             slots = seen.setdefault((host, stream), {})
             for at, text in page.texts.items():
                 code = xxhash.xxh3_64_intdigest(text) >> 1
-                old = slots.get(page.slots[at], (code, code, 0, 0))
+                old = slots.get(page.slots[at], (code, code, 0, 0, 0))
                 slots[page.slots[at]] = (min(old[0], code), max(old[1], code), old[2] + len(text),
-                                         old[3] + page.links[at])
+                                         old[3] + page.links[at], old[4] + 1)
         yield pd.DataFrame([(h, xxhash.xxh3_64_intdigest(s) >> 1, s,
-                             [dict(zip(("slot", "low", "high", "chars", "links"), (k, *v))) for k, v in x.items()])
+                             [dict(zip(SLOT, (k, *v))) for k, v in x.items()])
                             for (h, s), x in seen.items()], columns=["host", "code", "stream", "slots"])
 
 
@@ -381,9 +388,10 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     whole = partial.groupBy("host").applyInPandas(_inferred, "host string, stream string")
     slot = streams.select("host", F.explode("slots").alias("s")).groupBy("host", "s.slot").agg(
         F.min("s.low").alias("low"), F.max("s.high").alias("high"), F.sum("s.chars").alias("chars"),
-        F.sum("s.links").alias("links"))
+        F.sum("s.links").alias("links"), F.sum("s.texts").alias("texts"))
+    constant = (F.col("low") == F.col("high")) & (F.col("texts") >= 3)
     stats = slot.groupBy("host").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
-        "slot", F.array((F.col("low") == F.col("high")).cast("double"), F.col("links") / F.col("chars")))))).alias("stats"))
+        "slot", F.array(constant.cast("double"), F.col("links") / F.col("chars")))))).alias("stats"))
     return whole.join(stats, "host", "left").select("host", "stream", F.coalesce("stats", F.lit("{}")).alias("stats"))
 
 

@@ -11,8 +11,9 @@ of it, that is ``(c_a - c_b) . x <= |c_a - c_b| sin(angle / 2)``. That one is
 also a guest in the other's cell; if both are, the smaller cell number counts
 the link.
 
-A cell is dealt to blocks of about ``block_rows`` rows, and each pair of
-blocks is one group whose cosines are one matrix product in double precision.
+A cell's home rows and its guests are dealt to blocks of about ``block_rows``
+rows. Each pair of home blocks, and each home block with each guest block, is
+one group whose cosines are one matrix product in double precision.
 A group returns one row per linked vector (number of links, smallest linked
 id), never the pairs. A cell of any size is thus spread over many tasks. One
 representative of each component, the smallest id, is kept.
@@ -75,6 +76,17 @@ def cells_of(x: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.n
     return home, guest
 
 
+def _packed(v) -> bytes:
+    """A vector's components, in the width they came in."""
+    v = np.asarray(v)
+    return v.astype("<f4" if v.dtype == np.float32 else "<f8").tobytes()
+
+
+def _unpacked(rows: pd.Series, dim: int) -> np.ndarray:
+    kind = "<f4" if len(rows.iloc[0]) == 4 * dim else "<f8"
+    return unit_rows(np.frombuffer(b"".join(rows), kind).reshape(len(rows), dim))
+
+
 def _assign(centres: np.ndarray, threshold: float):
     def assign(batches):
         for frame in batches:
@@ -86,65 +98,64 @@ def _assign(centres: np.ndarray, threshold: float):
                     home, guest = np.zeros(len(x), int), np.zeros((len(x), 1), bool)
                 guests = [np.flatnonzero(g) for g in guest]
                 at = np.repeat(np.arange(len(x)), [1 + len(g) for g in guests])
+                cell = np.concatenate([np.append(h, g) for h, g in zip(home, guests)])
+                packed = [_packed(v) for v in rows["v"]]
                 yield pd.DataFrame({
-                    "label": rows["label"].to_numpy()[at], "dim": dim,
-                    "cell": np.concatenate([np.append(h, g) for h, g in zip(home, guests)]),
-                    "home": home[at], "guests": [guests[i] for i in at], "id": rows["id"].to_numpy()[at],
-                    "n": rows["n"].to_numpy()[at], "u": [x[i] for i in at]})
+                    "label": rows["label"].to_numpy()[at], "dim": dim, "cell": cell, "home": home[at],
+                    "guests": [guests[i] if c == home[i] else [] for i, c in zip(at, cell)],
+                    "id": rows["id"].to_numpy()[at], "n": rows["n"].to_numpy()[at], "x": [packed[i] for i in at]})
     return assign
 
 
 def _compare(threshold: float):
-    def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
-        _, _, cell, left, right = key
-        a = frame[frame["block"] == left]
-        b = a if left == right else frame[frame["block"] == right]
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        _, dim, cell, left, right, with_guests = key
+        at_home = (frame["home"] == cell).to_numpy()
+        block = frame["block"].to_numpy()
+        same = not with_guests and left == right
+        a = frame[at_home & (block == left)]
+        b = a if same else frame[(block == right) & (at_home != with_guests)]
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "links": [], "root": []})
-        linked = unit_rows(a["u"]) @ unit_rows(b["u"]).T >= threshold
-        home_a, home_b = a["home"].to_numpy(), b["home"].to_numpy()
-        at_home_a, at_home_b = home_a == cell, home_b == cell
-
-        def counted(home, hosts):  # rows: guests by their home; columns: rows at home, by where they are guests
-            also = np.zeros((len(home), len(hosts)), bool)
-            for j, g in enumerate(hosts):
-                if len(g):
-                    also[:, j] = np.isin(home, g)
-            return ~also | (home > cell)[:, None]
-
-        if not (at_home_a.all() and at_home_b.all()):
-            linked &= at_home_a[:, None] | at_home_b[None, :]
-            if (~at_home_a).any() and at_home_b.any():
-                part = np.ix_(~at_home_a, at_home_b)
-                linked[part] &= counted(home_a[~at_home_a], b["guests"].to_numpy()[at_home_b])
-            if (~at_home_b).any() and at_home_a.any():
-                part = np.ix_(at_home_a, ~at_home_b)
-                linked[part] &= counted(home_b[~at_home_b], a["guests"].to_numpy()[at_home_a]).T
-        if left == right:
+        x = _unpacked(a["x"], dim)
+        linked = x @ (x if same else _unpacked(b["x"], dim)).T >= threshold
+        if with_guests:
+            # a pair whose two rows are guests in each other's cell counts in the smaller cell
+            home = b["home"].to_numpy()
+            visits = np.zeros((len(a), max(home.max(), cell) + 1), bool)
+            sizes = a["guests"].map(len).to_numpy()
+            cells = np.concatenate([np.asarray(g, int) for g in a["guests"]])
+            rows = np.repeat(np.arange(len(a)), sizes)
+            near = cells < visits.shape[1]
+            visits[rows[near], cells[near]] = True
+            linked &= ~visits[:, home] | (home > cell)[None, :]
+        if same:
             np.fill_diagonal(linked, False)
         ids_a, ids_b = a["id"].to_numpy(), b["id"].to_numpy()
-        if left == right:
+        if same:
             ids, links = ids_a, linked @ a["n"].to_numpy()
         else:
             ids = np.concatenate([ids_a, ids_b])
             links = np.concatenate([linked @ b["n"].to_numpy(), linked.T @ a["n"].to_numpy()])
-        root_a, root_b, far = ids_a.copy(), ids_b.copy(), np.iinfo(np.int64).max
+        i, j = np.nonzero(linked)
+        root_a, root_b = ids_a.copy(), ids_a.copy() if same else ids_b.copy()
         while True:  # smallest id along the links of this group
-            next_b = np.minimum(root_b, np.where(linked, root_a[:, None], far).min(axis=0))
-            next_a = np.minimum(root_a, np.where(linked, next_b[None, :], far).min(axis=1))
-            if left == right:
-                next_b = next_a
+            next_a, next_b = root_a.copy(), root_b.copy()
+            np.minimum.at(next_b, j, root_a[i])
+            np.minimum.at(next_a, i, next_b[j])
+            if same:
+                next_a = next_b = np.minimum(next_a, next_b)
             if (next_a == root_a).all() and (next_b == root_b).all():
                 break
             root_a, root_b = next_a, next_b
-        root = root_a if left == right else np.concatenate([root_a, root_b])
+        root = root_a if same else np.concatenate([root_a, root_b])
         found = links > 0
         return pd.DataFrame({"id": ids[found], "links": links[found], "root": root[found]})
     return compare
 
 
 def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                 threshold: float = 0.93, cell_rows: int = 512, most_cells: int = 4096, block_rows: int = 1024,
+                 threshold: float = 0.93, cell_rows: int = 1024, most_cells: int = 4096, block_rows: int = 1024,
                  fit_rows: int = 20_000) -> DataFrame:
     """One row per vector: id, ``n_links``, ``component_id``, ``kept``."""
     workers_import_package(vectors.sparkSession)
@@ -171,17 +182,28 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         if len(sample) > cells:
             centres = spherical_kmeans(unit_rows(sample), cells)
 
-    held = distinct.select("label", "id", "n", "v").mapInPandas(
+    held = materialise(distinct.select("label", "id", "n", "v").mapInPandas(
         _assign(centres, threshold), "label string, dim int, cell int, home int, guests array<int>, id long, n long, "
-                                     "u array<double>")
-    held = materialise(held, "cell-rows")
+                                     "x binary"), "cell-rows")
     place = ["label", "dim", "cell"]
-    blocks = held.groupBy(*place).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    dealt = held.join(blocks, place).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
-             .drop("blocks", "other"))
-    partial = materialise(dealt.groupBy(*place, "left", "right").applyInPandas(
+    guest = F.col("home") != F.col("cell")
+    blocks = held.groupBy(*place).agg(F.ceil(F.count_if(~guest) / block_rows).cast("int").alias("at_home"),
+                                      F.ceil(F.count_if(guest) / block_rows).cast("int").alias("visiting"))
+    dealt = held.join(blocks, place).withColumn("block", F.pmod(
+        F.xxhash64("id"), F.when(guest, F.col("visiting")).otherwise(F.col("at_home"))).cast("int"))
+    # home blocks meet each other and every guest block; guests never meet guests
+    homes = F.transform(F.sequence(F.lit(0), F.col("at_home") - 1), lambda i: F.struct(
+        F.least(i, "block").alias("left"), F.greatest(i, "block").alias("right"), F.lit(False).alias("guests")))
+    visits = F.transform(F.sequence(F.lit(1), F.col("visiting")), lambda g: F.struct(
+        F.col("block").alias("left"), (g - 1).alias("right"), F.lit(True).alias("guests")))
+    hosts = F.transform(F.sequence(F.lit(1), F.col("at_home")), lambda i: F.struct(
+        (i - 1).alias("left"), F.col("block").alias("right"), F.lit(True).alias("guests")))
+    visits = F.when(F.col("visiting") > 0, visits).otherwise(F.slice(homes, 1, 0))
+    hosts = F.when(F.col("at_home") > 0, hosts).otherwise(F.slice(visits, 1, 0))
+    dealt = dealt.withColumn("unit", F.explode(F.when(guest, hosts).otherwise(F.concat(homes, visits))))
+    dealt = dealt.select(*place, "home", "guests", "id", "n", "x", "block", "unit.left", "unit.right",
+                         F.col("unit.guests").alias("with_guests"))
+    partial = materialise(dealt.groupBy(*place, "left", "right", "with_guests").applyInPandas(
         _compare(threshold), "id long, links long, root long"), "vector-links")
     component = connected_components(partial.select("id", "root"), "id", "root")
     links = partial.groupBy("id").agg(F.sum("links").alias("links"))

@@ -1,10 +1,18 @@
 """A random-forest hit classifier per country (MLlib).
 
-Training rows are written once to the shared folder, partitioned by country;
-each country's fit reads only its partition (partition pruning) and runs as
-an ordinary distributed MLlib job. Fits for different countries are
-submitted from a bounded thread pool. Only models and their 14 importances
-(countries x 14 numbers) reach the driver.
+Training rows are written once to the shared folder, partitioned by country
+(repartitioned by country and a salt first, so a large country is spread over
+tasks and a small one is one file); each country's fit reads only its
+partition (partition pruning) and runs as an ordinary distributed MLlib job.
+Fits for different countries are submitted from a bounded thread pool; a fit
+that fails marks its country FAILED and leaves the others alone. Every model is
+saved below ``model_root/country=XX`` (replacing the country's earlier one), so
+a later job can load it. Only models and their 14 importances (countries x 14
+numbers) reach the driver. Scores are written per country from the same pool
+and read back as one table, so plans do not grow with the countries.
+
+Sizes are the usual library defaults of the reference (500 trees, depth 20,
+leaves of 5 rows or more) and parameters.
 """
 
 from __future__ import annotations
@@ -16,33 +24,43 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartstreak.functions.features import feature_columns, label_column
 from chartstreak.functions.profile import prediction_text
 from chartstreak.operators import classify
 from chartstreak.operators.importance import percent_normalise
 from chartstreak.schemas import FEATURE_NAMES
-from chartstreak.session import shared_path
+from chartstreak.session import materialise, shared_path
 
-TRAINED = "TRAINED"
+TRAINED, FAILED, NO_MODEL, SCORED = "TRAINED", "FAILED", "NO_MODEL", "SCORED"
+ROWS_PER_FILE = 200_000
 
 
 @dataclass
 class ForestParams:
-    num_trees: int = 50
-    max_depth: int = 10
+    num_trees: int = 500
+    max_depth: int = 20
+    min_leaf: int = 5
     seed: int = 42
     parallelism: int = 4          # concurrent per-country fits
     extra: dict = field(default_factory=dict)
 
 
+def _by_country(rows: DataFrame, by: str) -> DataFrame:
+    """Rows dealt by country and a salt that grows with the country's rows."""
+    counts = rows.groupBy(by).agg(F.ceil(F.count("*") / ROWS_PER_FILE).cast("int").alias("_files"))
+    salted = rows.join(counts, by).withColumn("_salt", (F.rand(7) * F.col("_files")).cast("int"))
+    return salted.repartition(by, "_salt").drop("_files", "_salt")
+
+
 def training_table(spark: SparkSession, labelled: DataFrame, path: str | None = None,
                    by: str = "country") -> str:
     """Write (by, spotifyId, snapshotDate, 14 features, label) partitioned by ``by``."""
     path = path or shared_path(spark, "forest-train")
-    (labelled.select(by, "spotifyId", "snapshotDate", "name", *feature_columns(),
-                     label_column().alias("label"))
-     .write.mode("overwrite").partitionBy(by).parquet(path))
+    rows = labelled.select(by, "spotifyId", "snapshotDate", "name", *feature_columns(),
+                           label_column().alias("label"))
+    _by_country(rows, by).write.mode("overwrite").partitionBy(by).parquet(path)
     return path
 
 
@@ -50,12 +68,19 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
 
 
+def _rows_of(spark: SparkSession, path: str, country: str, by: str) -> DataFrame:
+    # partition values are read as text, whatever they look like
+    schema = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(by, T.StringType()) if f.name == by else f for f in schema.fields])
+    return spark.read.schema(schema).parquet(path).where(F.col(by) == country)
+
+
 def fit_country(spark: SparkSession, train_path: str, country: str, params: ForestParams,
                 by: str = "country") -> RandomForestClassificationModel:
-    rows = spark.read.parquet(train_path).where(F.col(by) == country)
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=params.num_trees,
-                                maxDepth=params.max_depth, seed=params.seed, **params.extra)
-    return rf.fit(_assembler().transform(rows))
+                                maxDepth=params.max_depth, minInstancesPerNode=params.min_leaf,
+                                seed=params.seed, **params.extra)
+    return rf.fit(_assembler().transform(_rows_of(spark, train_path, country, by)))
 
 
 @dataclass
@@ -63,31 +88,44 @@ class ForestRun:
     train_path: str
     gate: DataFrame                                   # (country, records, hits, nonHits, gate)
     models: dict[str, RandomForestClassificationModel]
-    model_path: str | None = None
+    model_path: str
+    status: DataFrame                                 # (country, classifierStatus)
+    errors: dict[str, str]
 
 
 def train_per_country(spark: SparkSession, labelled: DataFrame, params: ForestParams | None = None,
-                      save_models: bool = True, by: str = "country") -> ForestRun:
-    """L3 (+A6/A7 gates, S9): fit one forest per country that passes the gate."""
+                      model_root: str | None = None, by: str = "country") -> ForestRun:
+    """L3 (+A6/A7 gates, S9): fit one forest per country that passes the gate.
+
+    ``model_root``: where models are kept, one folder per country; a fresh
+    folder of the run if not given.
+    """
     params = params or ForestParams()
-    gate = classify.training_gate(labelled, by).checkpoint(eager=True)
+    gate = materialise(classify.training_gate(labelled, by), "gate")
     train_path = training_table(spark, labelled, by=by)
     countries = [r[by] for r in gate.where(F.col("gate") == classify.TRAIN).select(by).collect()]
-    # Models always go to the shared folder and are used as re-loaded: a
-    # freshly fitted model keeps its training summary, which refers back to
-    # the session, and once the session has run an Observation that
-    # reference can no longer be serialised when transform() broadcasts the
-    # model. A loaded model carries no summary.
-    model_path = shared_path(spark, "forest-models")
+    # Models are used as re-loaded: a freshly fitted model keeps its training
+    # summary, which refers back to the session, and once the session has run
+    # an Observation that reference can no longer be serialised when
+    # transform() broadcasts the model. A loaded model carries no summary.
+    model_path = model_root or shared_path(spark, "forest-models")
+    errors: dict[str, str] = {}
 
     def fit(c):
-        m = fit_country(spark, train_path, c, params, by)
-        m.write().overwrite().save(f"{model_path}/{by}={c}")
-        return c, RandomForestClassificationModel.load(f"{model_path}/{by}={c}")
+        try:
+            m = fit_country(spark, train_path, c, params, by)
+            m.write().overwrite().save(f"{model_path}/{by}={c}")
+            return c, RandomForestClassificationModel.load(f"{model_path}/{by}={c}")
+        except Exception as e:  # noqa: BLE001  one country's failure is its status, as in the reference
+            errors[c] = str(e)[:500]
+            return c, None
 
     with ThreadPoolExecutor(max_workers=max(1, params.parallelism)) as pool:
-        models = dict(pool.map(fit, sorted(countries)))
-    return ForestRun(train_path, gate, models, model_path if save_models else None)
+        models = {c: m for c, m in pool.map(fit, sorted(countries)) if m is not None}
+    outcome = spark.createDataFrame([(c, TRAINED if c in models else FAILED) for c in countries],
+                                    f"{by} string, outcome string")
+    status = gate.join(outcome, by, "left").select(by, F.coalesce("outcome", "gate").alias("classifierStatus"))
+    return ForestRun(train_path, gate, models, model_path, status, errors)
 
 
 def importances(spark: SparkSession, run: ForestRun, by: str = "country") -> DataFrame:
@@ -98,41 +136,63 @@ def importances(spark: SparkSession, run: ForestRun, by: str = "country") -> Dat
     return percent_normalise(raw, by)
 
 
-def predict(run: ForestRun, rows: DataFrame, by: str = "country") -> DataFrame:
-    """Score rows (carrying the 14 feature columns) of each trained country."""
-    out = None
-    for c, m in sorted(run.models.items()):
-        part = m.transform(_assembler().transform(rows.where(F.col(by) == c)))
-        part = part.select(*rows.columns, F.col("prediction").cast("int").alias("prediction"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def predict_samples(run: ForestRun, labelled: DataFrame, by: str = "country") -> DataFrame:
+def _saved_countries(spark: SparkSession, model_root: str, by: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(model_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    return sorted(s.getPath().getName()[len(by) + 1:] for s in fs.listStatus(root)
+                  if s.getPath().getName().startswith(f"{by}="))
+
+
+def score(spark: SparkSession, model_root: str, songs: DataFrame, by: str = "country",
+          parallelism: int = 4) -> DataFrame:
+    """Every row of ``songs`` (chart rows or rows with the 14 features) with its country's prediction.
+
+    Adds ``prediction`` (int), ``predictionText`` and ``scoreStatus``. Rows of a
+    country without a saved model keep a null prediction and NO_MODEL. Each
+    country's rows are scored by a job of their own and written; the result is
+    read back as one table.
+    """
+    rows_path, out_path = shared_path(spark, "score-in"), shared_path(spark, "score-out")
+    if "durationSeconds" not in songs.columns:
+        songs = songs.withColumn("durationSeconds", F.col("durationMs") / 1000.0)
+    known = songs.where(F.col(by).isNotNull())
+    _by_country(known.withColumn("_part", F.col(by)), by).write.partitionBy("_part").parquet(rows_path)
+    saved = set(_saved_countries(spark, model_root, by))
+    present = [r[0] for r in known.select(by).distinct().collect() if r[0] in saved]
+    fields = [*songs.schema.fields, T.StructField("prediction", T.IntegerType())]
+
+    def one(c):
+        model = RandomForestClassificationModel.load(f"{model_root}/{by}={c}")
+        rows = _rows_of(spark, rows_path, c, "_part").drop("_part")
+        out = model.transform(_assembler().transform(rows))
+        out.select(*songs.columns, F.col("prediction").cast("int").alias("prediction")).write.parquet(f"{out_path}/p={c}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(one, sorted(present)))
+    scored = [spark.read.schema(T.StructType(fields)).parquet(f"{out_path}/*")] if present else []
+    rest = songs.where(F.col(by).isNull() | ~F.col(by).isin(sorted(present))).withColumn(
+        "prediction", F.lit(None).cast("int"))
+    out = rest if not scored else scored[0].unionByName(rest)
+    text = F.when(F.col("prediction").isNotNull(), prediction_text(F.col("prediction")))
+    return (out.withColumn("predictionText", text)
+            .withColumn("scoreStatus", F.when(F.col("prediction").isNull(), NO_MODEL).otherwise(SCORED)))
+
+
+def predict_samples(spark: SparkSession, run: ForestRun, labelled: DataFrame, by: str = "country") -> DataFrame:
     """L5 + F27: the first hit and first row of each trained country, predicted."""
-    # Two rows per country: materialised once, so the per-country scoring
-    # branches below do not each re-derive them from the whole chart.
     samples = classify.first_of_group(labelled, by).select(
-        by, "sample", "spotifyId", "name", "snapshotDate", *feature_columns()).checkpoint(eager=True)
-    scored = predict(run, samples, by)
-    if scored is None:
-        return samples.select(by, "sample", "spotifyId", "name", F.lit(None).cast("int").alias("prediction"),
-                              F.lit(None).cast("string").alias("predictionText")).limit(0)
-    return scored.select(by, "sample", "spotifyId", "name", "prediction",
-                         prediction_text(F.col("prediction")).alias("predictionText"))
-
-
-def score_with_saved(spark: SparkSession, model_path: str, train_path: str, countries: list[str],
-                     by: str = "country") -> DataFrame:
-    """L6 + S10: load each country's saved model and batch-score its rows."""
-    out = None
-    for c in sorted(countries):
-        m = RandomForestClassificationModel.load(f"{model_path}/{by}={c}")
-        rows = spark.read.parquet(train_path).where(F.col(by) == c)
-        part = (m.transform(_assembler().transform(rows))
-                .groupBy(by).agg(F.count(F.lit(1)).alias("rows"),
-                                 F.sum("label").cast("bigint").alias("actualHits"),
-                                 F.sum(F.col("prediction").cast("int")).cast("bigint").alias("predictedHits"),
-                                 F.count_if(F.col("prediction").cast("int") == F.col("label")).alias("correct")))
-        out = part if out is None else out.unionByName(part)
-    return out
+        by, "sample", "spotifyId", "name", "snapshotDate", *feature_columns())
+    scored = score(spark, run.model_path, materialise(samples, "samples"), by)
+    return scored.where(F.col("scoreStatus") == SCORED).select(
+        by, "sample", "spotifyId", "name", "prediction", "predictionText")
+
+
+def score_summary(scored: DataFrame, by: str = "country") -> DataFrame:
+    """Rows, actual hits, predicted hits and correct predictions per country (needs ``label``)."""
+    right = F.col("prediction") == F.col("label").cast("int")
+    return scored.groupBy(by).agg(F.count("*").alias("rows"), F.sum("label").cast("bigint").alias("actualHits"),
+                                  F.sum("prediction").cast("bigint").alias("predictedHits"),
+                                  F.count_if(right).alias("correct"))

@@ -11,10 +11,12 @@ All countries advance together, one distributed job per iteration:
   map-side, so a country with a third of all points is spread over tasks.
   An empty cluster keeps its centroid.
 
-Points are materialised once in the shared checkpoint folder; centroids are
-checkpointed each iteration to cut lineage (both survive executor loss).
-Deterministic: init = the first k distinct songs by spotifyId per country,
-distances rounded to 9 decimals, ties to the lowest cluster id.
+Iterations run until no centroid moves more than ``tol``; ``max_iterations``
+is the usual library limit (100), a parameter. Points are materialised once in
+the shared folder; centroids are checkpointed each iteration to cut lineage
+(both survive executor loss). Deterministic: init = the first k distinct
+vectors by spotifyId per country, distances rounded to 9 decimals, ties to the
+lowest cluster id.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ from pyspark.sql import functions as F
 from chartstreak.functions import profile as pf
 from chartstreak.functions.features import feature_columns
 from chartstreak.schemas import FEATURE_NAMES, N_CLUSTERS
+from chartstreak.session import materialise
 
 OK, FAILED, NO_HITS = "OK", "FAILED", "NO_HITS"
-CENTROID_BROADCAST_MAX_ROWS = 1_000_000
+CENTROID_BROADCAST_MAX_BYTES = 64 << 20
 
 
 def _vec(cols=FEATURE_NAMES) -> Column:
@@ -42,14 +45,14 @@ def kmeans_points(labelled: DataFrame, by: str = "country") -> DataFrame:
 
 
 def initial_centroids(points: DataFrame, k: int, by: str = "country") -> DataFrame:
-    """The first k distinct songs by spotifyId per country -> (by, cluster, f)."""
-    songs = points.groupBy(by, "spotifyId").agg(F.min(F.struct("snapshotDate", "f")).alias("s"))
-    w = Window.partitionBy(by).orderBy("spotifyId")
+    """The first k distinct vectors by (spotifyId, vector) per country -> (by, cluster, f)."""
+    vectors = points.groupBy(by, "f").agg(F.min("spotifyId").alias("spotifyId"))
+    w = Window.partitionBy(by).orderBy("spotifyId", "f")
     # rank <= k over a window: Spark plans a WindowGroupLimit before the
-    # shuffle, so each map task keeps only k songs per country.
-    return (songs.withColumn("cluster", F.row_number().over(w))
+    # shuffle, so each map task keeps only k vectors per country.
+    return (vectors.withColumn("cluster", F.row_number().over(w))
             .where(F.col("cluster") <= k)
-            .select(by, "cluster", F.col("s.f").alias("f")))
+            .select(by, "cluster", "f"))
 
 
 def _sq_dist(p: Column, c: Column) -> Column:
@@ -81,32 +84,30 @@ def update(assigned: DataFrame, old: DataFrame, by: str = "country") -> DataFram
             .select(by, "cluster", F.coalesce("nf", "f").alias("f")))
 
 
-def grouped_kmeans(labelled: DataFrame, k: int = N_CLUSTERS, iterations: int = 10,
-                   by: str = "country", tol: float | None = None) -> tuple[DataFrame, DataFrame]:
+def grouped_kmeans(labelled: DataFrame, k: int = N_CLUSTERS, max_iterations: int = 100,
+                   by: str = "country", tol: float = 1e-9) -> tuple[DataFrame, DataFrame]:
     """Returns (centroids (by, cluster 1..k, f), status per country).
 
-    A country with fewer than k distinct hit songs gets status FAILED (the
+    A country with fewer than k distinct hit vectors gets status FAILED (the
     reference's clustering throws there) and no centroids; a country with no
-    hit at all gets NO_HITS. ``tol``: stop early once no centroid moves more
-    than tol (one centroid-sized aggregate per iteration reaches the driver).
+    hit at all gets NO_HITS. One centroid-sized aggregate per iteration (the
+    largest move) reaches the driver.
     """
-    points = kmeans_points(labelled, by).checkpoint(eager=True)
+    points = materialise(kmeans_points(labelled, by), "kmeans-points")
     init = initial_centroids(points, k, by)
-    distinct = points.groupBy(by).agg(F.countDistinct("spotifyId").alias("distinctHits"))
+    distinct = points.groupBy(by, "f").count().groupBy(by).agg(F.count("*").alias("distinctHits"))
     ok = distinct.where(F.col("distinctHits") >= k).select(by)
     cents = init.join(ok, by, "left_semi").checkpoint(eager=True)
-    small = cents.count() <= CENTROID_BROADCAST_MAX_ROWS
-    for _ in range(iterations):
+    size = cents.agg(F.sum(F.octet_length(F.to_json(F.struct(*cents.columns))))).first()[0] or 0
+    small = size <= CENTROID_BROADCAST_MAX_BYTES
+    for _ in range(max_iterations if size else 0):
         new = update(assign(points, cents, by, small), cents, by).checkpoint(eager=True)
-        if tol is not None:
-            moved = (new.alias("n").join(cents.alias("o"), [by, "cluster"])
-                     .select(F.max(F.sqrt(_sq_dist(F.col("n.f"), F.col("o.f")))).alias("m"))
-                     .first()["m"])
-            cents = new
-            if moved is None or moved <= tol:
-                break
-        else:
-            cents = new
+        moved = (new.alias("n").join(cents.alias("o"), [by, "cluster"])
+                 .select(F.max(F.sqrt(_sq_dist(F.col("n.f"), F.col("o.f")))).alias("m"))
+                 .first()["m"])
+        cents = new
+        if moved <= tol:
+            break
     all_countries = labelled.groupBy(by).agg(F.count_if("hit").alias("hitRows"))
     status = (all_countries.join(distinct, by, "left")
               .select(by, F.when(F.col("hitRows") == 0, F.lit(NO_HITS))

@@ -3,9 +3,9 @@
 The hits table has at most one row per (country, spotifyId). It is joined
 to the (large) chart with a left outer equi-join on the key:
 
-* broadcast only behind a checked size: the hits are written to the shared
-  checkpoint folder and counted; at most ``broadcast_max_rows`` rows go out
-  as a broadcast hash join;
+* broadcast only behind a checked size: the columns the result needs are
+  written to the shared folder and their bytes summed; at most
+  ``broadcast_max_bytes`` go out as a broadcast hash join;
 * above that, a shuffle join; AQE's skew-join split (enabled in the session)
   divides a hot key's rows over several tasks.
 """
@@ -16,18 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartstreak.schemas import CHART_FIELDS, KEY
+from chartstreak.session import materialise
 
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def size_checked(hits: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Materialise ``hits`` in the shared checkpoint folder and count it.
+def size_checked(hits: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, int]:
+    """Materialise ``hits`` in the shared folder and sum the bytes of its rows.
 
-    Returns the (broadcast-hinted when small enough) frame and its row count.
+    Returns the (broadcast-hinted when small enough) frame and its bytes as text.
     """
-    hits = hits.checkpoint(eager=True)
-    n = hits.count()
-    return (F.broadcast(hits) if n <= max_rows else hits), n
+    hits = materialise(hits, "hits")
+    size = hits.agg(F.sum(F.octet_length(F.to_json(F.struct(*hits.columns))))).first()[0] or 0
+    return (F.broadcast(hits) if size <= max_bytes else hits), size
 
 
 def extend(rows: DataFrame, hit: bool = False) -> DataFrame:
@@ -39,7 +40,7 @@ def extend(rows: DataFrame, hit: bool = False) -> DataFrame:
 
 
 def label(rows: DataFrame, hits: DataFrame, mode: str = "final", emit: str = "annotate",
-          order_col: str = "snapshotDate", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+          order_col: str = "snapshotDate", broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
           check_size: bool = True) -> DataFrame:
     """Label each row hit / not hit.
 
@@ -50,11 +51,14 @@ def label(rows: DataFrame, hits: DataFrame, mode: str = "final", emit: str = "an
     """
     if mode not in ("final", "causal") or emit not in ("annotate", "replace"):
         raise ValueError(f"mode={mode!r} emit={emit!r}")
-    h = hits.select(*KEY, *[F.col(c).alias(f"_h_{c}") for c in CHART_FIELDS if c not in KEY],
+    needed = [c for c in CHART_FIELDS if c not in KEY and (emit == "replace" or (mode == "causal" and c == order_col))]
+    if mode == "causal" and order_col not in CHART_FIELDS:
+        needed.append(order_col)
+    h = hits.select(*KEY, *[F.col(c).alias(f"_h_{c}") for c in needed],
                     F.col("consecutiveHitDaysCount").alias("_h_count"),
                     F.col("consecutiveHitDaysList").alias("_h_list"))
     if check_size:
-        h, _ = size_checked(h, broadcast_max_rows)
+        h, _ = size_checked(h, broadcast_max_bytes)
     joined = rows.join(h, KEY, "left")
     matched = F.col("_h_count").isNotNull()
     if mode == "causal":

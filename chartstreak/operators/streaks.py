@@ -84,8 +84,14 @@ def longest_streak(chart: DataFrame, top_n: int = TOP_N, keys=KEY) -> DataFrame:
                  F.count(F.lit(1)).alias("topDayCount")))
 
 
-def detect_hits(chart: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS,
-                keys=KEY) -> DataFrame:
+def has_repeated_days(chart: DataFrame, keys=KEY) -> bool:
+    """Whether any (key, day) has more than one row (one partial aggregation)."""
+    repeated = chart.groupBy(*keys, DATE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return not repeated.isEmpty()
+
+
+def detect_hits(chart: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS, keys=KEY,
+                repeated_dates: str | bool = False, order_col: str = DATE) -> DataFrame:
     """W1 + W2 (date order): one row per key whose top-N streak reaches ``run``.
 
     Rows are taken in date order. The trigger is the top row on the first day
@@ -93,7 +99,13 @@ def detect_hits(chart: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS,
     ``run``. The row carries all top days up to and including the trigger day.
     Output: the 19 chart fields of the trigger row + consecutiveHitDaysCount,
     consecutiveHitDaysList (ISO strings), hit = true.
+
+    A day that comes twice can retract (W3), which the date-order windows do
+    not see: ``repeated_dates=True`` takes ``detect_hits_ordered`` in the order
+    of ``order_col``, ``"auto"`` decides by one aggregation.
     """
+    if repeated_dates is True or (repeated_dates == "auto" and has_repeated_days(chart, keys)):
+        return detect_hits_ordered(chart, order_col, top_n, run, keys)
     days = islands(top_day_rows(chart, top_n, keys), keys)
     whole_key = Window.partitionBy(*keys)
     trigger_day = F.min(F.when(F.col("runLength") == run, F.col(DATE))).over(whole_key)
@@ -112,18 +124,20 @@ def detect_hits(chart: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS,
 
 # --- general order: repeated days and retraction (W3, O3) ------------------
 
-def _longest_run(days_sorted: Column) -> Column:
-    """Longest run of consecutive dates in a sorted, distinct date array."""
-    init = F.struct(F.lit(None).cast("date").alias("prev"), F.lit(0).alias("cur"),
-                    F.lit(0).alias("best"))
+def _run_around(days: Column, d: Column, run: int) -> Column:
+    """Length of the run of consecutive days in ``days`` that holds ``d``.
 
-    def step(acc, d):
-        cur = F.when(acc["prev"].isNotNull() & (F.datediff(d, acc["prev"]) == 1),
-                     acc["cur"] + 1).otherwise(F.lit(1))
-        return F.struct(d.alias("prev"), cur.alias("cur"),
-                        F.greatest(acc["best"], cur).alias("best"))
+    No run reached ``run`` before ``d`` came, so only days closer than ``run``
+    on either side can belong to it.
+    """
+    ahead = F.transform(F.filter(days, lambda x: (x > d) & (F.datediff(x, d) < run)), lambda x: F.datediff(x, d))
+    behind = F.transform(F.filter(days, lambda x: (x < d) & (F.datediff(d, x) < run)), lambda x: F.datediff(d, x))
 
-    return F.aggregate(days_sorted, init, step, lambda acc: acc["best"])
+    def reach(distances):
+        ordered = F.array_sort(distances)
+        steps = F.transform(ordered, lambda v, i: v == i + 1)
+        return F.coalesce(F.nullif(F.array_position(steps, F.lit(False)), F.lit(0)) - 1, F.size(ordered))
+    return (reach(ahead) + reach(behind) + 1).cast("int")
 
 
 def detect_hits_ordered(chart: DataFrame, order_col: str, top_n: int = TOP_N,
@@ -133,50 +147,40 @@ def detect_hits_ordered(chart: DataFrame, order_col: str, top_n: int = TOP_N,
     State per key is the set of top days: a top row adds its day, any other
     row removes its day. The trigger is the first top row after which the
     longest run in the set is >= ``run``; count is that longest run, the list
-    is the whole set at that moment.
+    is the whole set at that moment. Rows of equal ``order_col`` are taken by
+    (day, rank, name); the order column may have any sortable type.
 
     Only *effective* changes of a (key, day)'s membership can move the
     result (a repeated add finds a set already examined, a removal only
-    shrinks it), so rows are first reduced to those changes. The fold then
-    walks one key's changes, which number at most (distinct days x toggles).
+    shrinks it), so rows are first reduced to those changes, each top one
+    carrying its row. The fold then walks one key's changes, at most (distinct
+    days x toggles) however many raw rows the key has, and looks only at days
+    close to the one that came. The chart is read once; nothing is joined back.
     """
-    top = F.col("dailyRank") <= top_n
-    per_day = Window.partitionBy(*keys, DATE).orderBy(order_col)
-    changes = (chart
-               .withColumn("isTop", top)
+    order = [order_col, *[c for c in (DATE, "dailyRank", "name") if c != order_col]]
+    rest = [c for c in CHART_FIELDS if c not in order and c not in keys]
+    per_day = Window.partitionBy(*keys, DATE).orderBy(*order)
+    changes = (chart.withColumn("isTop", F.col("dailyRank") <= top_n)
                .withColumn("prevTop", F.lag("isTop").over(per_day))
                .where(F.when(F.col("prevTop").isNull(), F.col("isTop"))
                       .otherwise(F.col("isTop") != F.col("prevTop"))))
-    ev = F.struct(F.col(order_col).alias("o"), F.col(DATE).alias("d"),
-                  F.col("isTop").alias("top"))
-    folded = changes.groupBy(*keys).agg(F.array_sort(F.collect_list(ev)).alias("ev"))
-
-    init = F.struct(F.array().cast("array<date>").alias("days"),
-                    F.lit(None).cast("long").alias("hitAt"),
-                    F.lit(0).alias("count"),
-                    F.array().cast("array<date>").alias("hitDays"))
+    event = F.struct(F.struct(*order).alias("at"), F.col("isTop").alias("top"), F.struct(*rest).alias("rest"))
+    folded = changes.groupBy(*keys).agg(F.array_sort(F.collect_list(event)).alias("events"))
+    element = folded.schema["events"].dataType.elementType
+    init = F.struct(F.array().cast("array<date>").alias("days"), F.lit(None).cast(element).alias("hit"),
+                    F.lit(0).alias("count"))
 
     def step(acc, e):
-        added = F.array_sort(F.array_union(acc["days"], F.array(e["d"])))
-        removed = F.array_remove(acc["days"], e["d"])
-        days = F.when(e["top"], added).otherwise(removed)
-        longest = F.when(e["top"], _longest_run(added)).otherwise(F.lit(0))
-        fire = acc["hitAt"].isNull() & e["top"] & (longest >= run)
-        return F.when(acc["hitAt"].isNotNull(), acc).otherwise(F.struct(
-            days.alias("days"),
-            F.when(fire, e["o"].cast("long")).alias("hitAt"),
-            F.when(fire, longest).otherwise(F.lit(0)).alias("count"),
-            F.when(fire, days).otherwise(F.array().cast("array<date>")).alias("hitDays")))
-
-    state = folded.select(*keys, F.aggregate("ev", init, step).alias("st"))
-    found = state.where(F.col("st.hitAt").isNotNull()).select(
-        *keys, F.col("st.hitAt").alias("_hitAt"),
-        F.col("st.count").cast("int").alias("consecutiveHitDaysCount"),
-        F.transform("st.hitDays", lambda d: _iso(d)).alias("consecutiveHitDaysList"))
-    # Fetch the trigger row itself: an equi-join on (key, order) against the
-    # changes, which hold at most one row per hit key and order value.
-    trig = changes.where(F.col("isTop")).select(
-        *CHART_FIELDS, F.col(order_col).cast("long").alias("_hitAt"))
-    return (found.join(trig, [*keys, "_hitAt"], "inner")
-            .select(*CHART_FIELDS, "consecutiveHitDaysCount", "consecutiveHitDaysList",
-                    F.lit(True).alias("hit")))
+        day = e["at"][DATE]
+        days = F.when(e["top"], F.array_union(acc["days"], F.array(day))).otherwise(F.array_remove(acc["days"], day))
+        length = F.when(e["top"], _run_around(days, day, run)).otherwise(F.lit(0))
+        fire = length >= run
+        return F.when(acc["hit"].isNotNull(), acc).otherwise(F.struct(
+            days.alias("days"), F.when(fire, e).alias("hit"), F.when(fire, length).otherwise(F.lit(0)).alias("count")))
+
+    state = folded.select(*keys, F.aggregate("events", init, step).alias("s")).where("s.hit is not null")
+    fields = [F.col(c) if c in keys else F.col(f"s.hit.at.{c}").alias(c) if c in order
+              else F.col(f"s.hit.rest.{c}").alias(c) for c in CHART_FIELDS]
+    return state.select(*fields, F.col("s.count").alias("consecutiveHitDaysCount"),
+                        F.transform(F.array_sort("s.days"), lambda d: _iso(d)).alias("consecutiveHitDaysList"),
+                        F.lit(True).alias("hit"))

@@ -15,7 +15,7 @@ from chartstreak.operators import label as lab
 from chartstreak.operators import streaks
 from chartstreak.plans.common import chart_cols_sql, flat, hits_sql, with_chart
 from chartstreak.schemas import KEY, RUN_DAYS, TOP_N
-from chartstreak.sources.chart import load_chart
+from chartstreak.sources.chart import NARROW_SONGS, load_chart
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -140,7 +140,7 @@ def restated_chart(spark, sf_dir):
     2*d + 3 (after day d+1's originals), so dates repeat per key and a
     restated rank outside the top N retracts an earlier top day.
     """
-    from chartstreak.sources.chart import NARROW_SONGS, load_table
+    from chartstreak.sources.chart import load_table
     from pyspark.sql import Window
 
     chart = load_chart(spark, sf_dir)
@@ -158,8 +158,60 @@ def restated_chart(spark, sf_dir):
     return chart.withColumn("seq", base * 2).unionByName(restated)
 
 
-@register("hit_detect_retract", None)
+RESTATED_SQL = f"""
+    re_counts as (select event_type as country, concat('S', cast(user_id % {NARROW_SONGS} as varchar)) as spotifyId,
+                    cast(ts as date) as snapshotDate, count(*) as n
+                  from events group by all),
+    re_ranks as (select *, cast(row_number() over (partition by country, snapshotDate order by n desc, spotifyId)
+                   as integer) as newRank from re_counts),
+    restated as (
+      select *, 2 * (snapshotDate - date '2000-01-01') as seq from chart
+      union all by name
+      select c.* replace (r.newRank as dailyRank), 2 * (c.snapshotDate - date '2000-01-01') + 3 as seq
+      from chart c join re_ranks r using (country, spotifyId, snapshotDate))"""
+
+
+def retract_sql(order: str, top_n: int, run: int) -> str:
+    """CTEs ``hits``: the fold over ``restated`` one row at a time, as a recursion per key."""
+    gap = f"list_min([j for j in range(1, {10 * run}) if not list_contains(days, d {{}} cast(j as integer))]) - 1"
+    return RESTATED_SQL + f""",
+    re_rows as (select *, row_number() over (partition by country, spotifyId order by {order}, snapshotDate,
+                  dailyRank, name) as i from restated),
+    re_state as (
+      select country, spotifyId, 0 as i, cast([] as date[]) as days, cast(null as date) as d, false as top,
+        false as fired from re_rows group by all
+      union all
+      select s.country, s.spotifyId, s.i + 1,
+        case when r.dailyRank <= {top_n} then list_distinct(list_append(s.days, r.snapshotDate))
+             else list_filter(s.days, lambda x: x <> r.snapshotDate) end,
+        r.snapshotDate, r.dailyRank <= {top_n},
+        s.fired or (s.top and {gap.format('+').replace('days', 's.days').replace(' d ', ' s.d ')}
+                    + {gap.format('-').replace('days', 's.days').replace(' d ', ' s.d ')} + 1 >= {run})
+      from re_state s join re_rows r on r.country = s.country and r.spotifyId = s.spotifyId and r.i = s.i + 1
+      where not s.fired),
+    re_hit as (
+      select *, {gap.format('+')} + {gap.format('-')} + 1 as runLength from re_state
+      where top and not fired and {gap.format('+')} + {gap.format('-')} + 1 >= {run}),
+    hits as (
+      select r.*, cast(h.runLength as integer) as consecutiveHitDaysCount,
+        array_to_string(list_transform(list_sort(h.days), lambda x: cast(x as varchar)), ',') as consecutiveHitDaysList,
+        true as hit
+      from re_hit h join re_rows r using (country, spotifyId, i))"""
+
+
+def _retract(order: str, top_n: int, run: int) -> str:
+    sql = with_chart(f"select {chart_cols_sql()}, consecutiveHitDaysCount, consecutiveHitDaysList, hit from hits",
+                     extra=retract_sql(order, top_n, run))
+    return sql.replace("with ", "with recursive ", 1)
+
+
+@register("hit_detect_retract", _retract("seq", TOP_N, RUN_DAYS))
 def q_hit_detect_retract(spark, sf_dir):
-    """W1 + W3 + O3 in arrival order with repeated days (checked against a
-    brute-force state machine in tests/)."""
+    """W1 + W3 + O3 in arrival order with repeated days."""
     return flat(streaks.detect_hits_ordered(restated_chart(spark, sf_dir), "seq"))
+
+
+@register("hit_detect_auto", _retract("snapshotDate", TOP_N, 5))
+def q_hit_detect_auto(spark, sf_dir):
+    """W1 + W3 chosen by the repeated-day check, in date order, runs of 5 days."""
+    return flat(streaks.detect_hits(restated_chart(spark, sf_dir), TOP_N, 5, repeated_dates="auto"))

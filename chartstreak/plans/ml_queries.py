@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chartstreak.functions import profile as pf
-from chartstreak.operators import classify, forest, kmeans
+from chartstreak.jobs import train_countries
+from chartstreak.operators import forest, kmeans
 from chartstreak.plans.common import flat, labelled_sql, with_chart
 from chartstreak.plans.profile_queries import bands_sql, fsql, summary_sql
 from chartstreak.plans.queries import labelled, register
 from chartstreak.schemas import FEATURE_NAMES, N_CLUSTERS, RUN_DAYS, TOP_N
+from chartstreak.session import shared_path
 
 LAB = labelled_sql(TOP_N, RUN_DAYS)
-ITERATIONS = 3
+ITERATIONS = 24   # of the oracle: beyond the fixed point, where further rounds change nothing
 NF = len(FEATURE_NAMES)
 
 
@@ -20,18 +22,16 @@ def _r4(x):
     return f"floor({x} * 10000.0 + 0.5) / 10000.0"
 
 
-def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS) -> str:
+def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS, lab: str = LAB) -> str:
     """CTEs ``km_c{iterations}`` (centroids) and ``km_status``, unrolled Lloyd loop."""
     fcols = ", ".join(f"{fsql(n)} as f{i}" for i, n in enumerate(FEATURE_NAMES))
     fl = ", ".join(f"f{i}" for i in range(NF))
     ctes = [
         f"km_pts as (select country, spotifyId, snapshotDate, {fcols} from labelled where hit)",
-        "km_songs as (select country, spotifyId, "
-        + ", ".join(f"arg_min(f{i}, snapshotDate) as f{i}" for i in range(NF))
-        + " from km_pts group by country, spotifyId)",
-        "km_distinct as (select country, count(distinct spotifyId) as dh from km_pts group by country)",
+        f"km_songs as (select country, min(spotifyId) as spotifyId, {fl} from km_pts group by country, {fl})",
+        "km_distinct as (select country, count(*) as dh from km_songs group by country)",
         f"km_c0 as (select country, cluster, {fl} from (select *, row_number() over ("
-        f"partition by country order by spotifyId) as cluster from km_songs) "
+        f"partition by country order by spotifyId, {fl}) as cluster from km_songs) "
         f"where cluster <= {k} and country in (select country from km_distinct where dh >= {k}))",
     ]
     dist = " + ".join(f"(p.f{i} - c.f{i}) * (p.f{i} - c.f{i})" for i in range(NF))
@@ -52,26 +52,40 @@ def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS) -> str:
         "km_status as (select l.country, case when count_if(l.hit) = 0 then 'NO_HITS' "
         f"when coalesce(max(d.dh), 0) < {k} then 'FAILED' else 'OK' end as kmeansStatus "
         "from labelled l left join km_distinct d using (country) group by l.country)")
-    return LAB + ",\n" + ",\n".join(ctes)
+    ctes = [c.replace(" as (", " as materialized (", 1) for c in ctes]
+    return lab + ",\n" + ",\n".join(ctes)
 
 
 KM = kmeans_sql()
 
 
-def _kmeans(spark, sf_dir):
-    return kmeans.grouped_kmeans(labelled(spark, sf_dir), N_CLUSTERS, ITERATIONS)
+WIDE = {"wide": True, "top_n": 10, "run": 2}       # song = user_id: the chart grows with the events
+KM_WIDE = kmeans_sql(lab=labelled_sql(10, 2))
 
 
-@register("grouped_kmeans", with_chart(
-    "select country, cluster, " + ", ".join(f"{_r4(f'f{i}')} as {n}" for i, n in enumerate(FEATURE_NAMES))
-    + f" from km_c{ITERATIONS}", extra=KM))
-def q_grouped_kmeans(spark, sf_dir):
-    """L1: k=4 centroids per country, fixed init, 3 Lloyd iterations, 4 decimals."""
-    cents, _ = _kmeans(spark, sf_dir)
+def _centroids_sql(wide: bool = False) -> str:
+    return with_chart("select country, cluster, " + ", ".join(
+        f"{_r4(f'f{i}')} as {n}" for i, n in enumerate(FEATURE_NAMES)) + f" from km_c{ITERATIONS}",
+        wide=wide, extra=KM_WIDE if wide else KM)
+
+
+def _centroids(cents):
     return cents.select("country", "cluster", *[
         (F.floor(F.col("f")[i] * 10000.0 + 0.5) / 10000.0).alias(n) for i, n in enumerate(FEATURE_NAMES)])
 
 
+@register("grouped_kmeans", _centroids_sql())
+def q_grouped_kmeans(spark, sf_dir):
+    """L1: k=4 centroids per country, fixed init, to convergence, 4 decimals."""
+    return _centroids(kmeans.grouped_kmeans(labelled(spark, sf_dir))[0])
+
+
+@register("grouped_kmeans_wide", _centroids_sql(wide=True))
+def q_grouped_kmeans_wide(spark, sf_dir):
+    """L1 over the wide chart, runs of 2 days: every country clusters."""
+    return _centroids(kmeans.grouped_kmeans(labelled(spark, sf_dir, **WIDE))[0])
+
+
 def _fc(n):
     return f"f{FEATURE_NAMES.index(n)}"
 
@@ -81,7 +95,7 @@ def _fc(n):
     + ", ".join(f"{v} as {k}" for k, v in bands_sql(_fc).items()) + f" from km_c{ITERATIONS}", extra=KM))
 def q_cluster_profiles(spark, sf_dir):
     """L2: per centroid its summary and band words (profile text in the library)."""
-    cents, _ = _kmeans(spark, sf_dir)
+    cents, _ = kmeans.grouped_kmeans(labelled(spark, sf_dir))
     return kmeans.cluster_profiles(cents).drop("profile")
 
 
@@ -94,19 +108,21 @@ def q_cluster_profiles(spark, sf_dir):
                     else 'TRAIN' end as gate
              from labelled group by country) g join km_status s using (country)""", extra=KM))
 def q_training_report(spark, sf_dir):
-    """One row per country: counts, clustering outcome, classifier outcome."""
-    lab = labelled(spark, sf_dir)
-    _, status = kmeans.grouped_kmeans(lab, N_CLUSTERS, 1)
-    gate = classify.training_gate(lab)
-    return gate.join(status, "country").select(
-        "country", "records", "hits", "nonHits", "kmeansStatus",
-        F.when(F.col("gate") == classify.TRAIN, F.lit(forest.TRAINED)).otherwise(F.col("gate"))
-        .alias("classifierStatus"))
+    """One row per country from a real run of the training job: counts and outcomes."""
+    report = train_countries(spark, labelled(spark, sf_dir), shared_path(spark, "training"))
+    return report.select("country", "records", "hits", "nonHits", "kmeansStatus", "classifierStatus")
+
+
+_runs: dict = {}
 
 
 def _forest(spark, sf_dir):
+    """The labelled chart and its trained forests; one training per application and table folder."""
+    key = spark.sparkContext.applicationId, sf_dir
     lab = labelled(spark, sf_dir)
-    return lab, forest.train_per_country(spark, lab, forest.ForestParams(num_trees=20, max_depth=8))
+    if key not in _runs:
+        _runs[key] = forest.train_per_country(spark, lab)
+    return lab, _runs[key]
 
 
 @register("forest_importance", None)
@@ -116,15 +132,25 @@ def q_forest_importance(spark, sf_dir):
     return forest.importances(spark, run)
 
 
-@register("predict_samples", None)
+@register("predict_samples", with_chart(
+    """select country, sample, first(spotifyId order by snapshotDate, spotifyId) as spotifyId
+       from (select *, 'any' as sample from labelled union all select *, 'hit' from labelled where hit)
+       where country in (select country from labelled group by country having count(distinct hit) = 2)
+       group by country, sample""", extra=LAB))
 def q_predict_samples(spark, sf_dir):
-    """L5 + F27: predict the first hit and first row of each trained country."""
+    """L5 + F27: the samples that each trained country predicts (the predictions themselves: tests)."""
     lab, run = _forest(spark, sf_dir)
-    return flat(forest.predict_samples(run, lab))
+    return forest.predict_samples(spark, run, lab).where(
+        F.col("predictionText").isNotNull()).select("country", "sample", "spotifyId")
 
 
-@register("score_with_saved", None)
+@register("score_with_saved", with_chart(
+    """select l.country, spotifyId, cast(snapshotDate as varchar) as snapshotDate, dailyRank,
+         case when two then 'SCORED' else 'NO_MODEL' end as scoreStatus
+       from labelled l join (select country, count(distinct hit) = 2 as two from labelled group by country)
+       using (country)""", extra=LAB))
 def q_score_with_saved(spark, sf_dir):
-    """L6 + S9 + S10: save per-country models, load them, batch-score every row."""
-    _, run = _forest(spark, sf_dir)
-    return forest.score_with_saved(spark, run.model_path, run.train_path, sorted(run.models))
+    """L6 + S9 + S10: per-country models are saved, loaded and score every row."""
+    lab, run = _forest(spark, sf_dir)
+    return flat(forest.score(spark, run.model_path, lab).select(
+        "country", "spotifyId", "snapshotDate", "dailyRank", "scoreStatus"))

@@ -59,7 +59,7 @@ def test_kmeans_fewer_songs_than_k(spark):
     spec = [("X", f"s{i}", 1, True, 0.1 * i) for i in range(3)] + [("Y", f"s{i}", 1, True, 0.1 * i)
                                                                     for i in range(6)]
     spec += [("Z", "s0", 1, False, 0.5)]
-    cents, status = kmeans.grouped_kmeans(_rows(spark, spec), k=4, iterations=3)
+    cents, status = kmeans.grouped_kmeans(_rows(spark, spec), k=4)
     st = {r["country"]: r["kmeansStatus"] for r in status.collect()}
     assert st == {"X": kmeans.FAILED, "Y": kmeans.OK, "Z": kmeans.NO_HITS}
     assert sorted(r["cluster"] for r in cents.where("country = 'Y'").collect()) == [1, 2, 3, 4]
@@ -68,7 +68,7 @@ def test_kmeans_fewer_songs_than_k(spark):
 
 def test_kmeans_separates_clusters(spark):
     spec = [("Q", f"a{i}", 1, True, 0.0) for i in range(4)] + [("Q", f"b{i}", 1, True, 1.0) for i in range(4)]
-    cents, _ = kmeans.grouped_kmeans(_rows(spark, spec), k=2, iterations=5)
+    cents, _ = kmeans.grouped_kmeans(_rows(spark, spec), k=2)
     d = sorted(round(r["f"][2], 6) for r in cents.collect())
     assert d == [0.0, 1.0]
 
@@ -77,12 +77,40 @@ def test_separable_fixture_trains_well(spark):
     spec = [("S", f"h{i}", 1 + i % 28, True, 0.9) for i in range(200)]
     spec += [("S", f"n{i}", 1 + i % 28, False, 0.1) for i in range(200)]
     df = _rows(spark, spec)
-    run = forest.train_per_country(spark, df, forest.ForestParams(num_trees=10, max_depth=4),
-                                   save_models=True)
-    scored = forest.score_with_saved(spark, run.model_path, run.train_path, ["S"]).first()
+    run = forest.train_per_country(spark, df, forest.ForestParams(num_trees=10, max_depth=4))
+    labelled_rows = df.withColumn("label", F.col("hit").cast("int"))
+    scored = forest.score_summary(forest.score(spark, run.model_path, labelled_rows)).first()
     assert scored["correct"] / scored["rows"] >= 0.95
 
 
 def test_predict_samples(spark, lab, run):
-    p = forest.predict_samples(run, lab).collect()
+    p = forest.predict_samples(spark, run, lab).collect()
     assert p and all(r["predictionText"] in ("a HIT.", "not a HIT.") for r in p)
+
+
+def test_rows_without_a_model_keep_their_place(spark, run):
+    rows = _rows(spark, [("nowhere", "s1", 1, False, 0.5), ("nowhere", "s2", 2, False, 0.5)])
+    out = forest.score(spark, run.model_path, rows).collect()
+    assert [(r["prediction"], r["predictionText"], r["scoreStatus"]) for r in out] == [(None, None, forest.NO_MODEL)] * 2
+    assert forest.score(spark, run.model_path, rows.limit(0)).collect() == []
+
+
+def test_one_failing_fit_is_a_status(spark, lab, monkeypatch):
+    real = forest.fit_country
+
+    def fit(spark_, path, country, *args):
+        if country == "click":
+            raise RuntimeError("no luck")
+        return real(spark_, path, country, *args)
+    monkeypatch.setattr(forest, "fit_country", fit)
+    done = forest.train_per_country(spark, lab, forest.ForestParams(num_trees=3, max_depth=2))
+    status = {r["country"]: r["classifierStatus"] for r in done.status.collect()}
+    assert status["click"] == forest.FAILED and done.errors == {"click": "no luck"}
+    assert all(s == forest.TRAINED for c, s in status.items() if c in done.models)
+    assert set(done.models) == {c for c, s in status.items() if s == forest.TRAINED}
+
+
+def test_equal_vectors_are_no_start_points(spark):
+    spec = [("X", f"s{i}", 1, True, 0.3) for i in range(9)]
+    _, status = kmeans.grouped_kmeans(_rows(spark, spec), k=4)
+    assert status.first()["kmeansStatus"] == kmeans.FAILED

@@ -18,6 +18,7 @@ from chartstreak.session import shared_path
 
 # --- fixed values: corpus layout --------------------------------------------
 N_CODES = 20
+FILES = 4
 HEADER = ("spotify_id,name,artists,daily_rank,daily_movement,weekly_movement,country,"
           "snapshot_date,popularity,is_explicit,duration_ms,album_name,album_release_date,"
           "danceability,energy,key,loudness,mode,speechiness,acousticness,instrumentalness,"
@@ -106,11 +107,15 @@ def chart_csv_lines(chart: DataFrame, corrupt: bool = False) -> DataFrame:
 
 def write_chart_csv(spark: SparkSession, chart: DataFrame, corrupt: bool = False,
                     path: str | None = None) -> str:
-    """Write header + lines as text under the shared folder; return the path.
+    """Write the lines as text under the shared folder; return the path.
 
-    The header is partition 0 of a union, so it lands in the first part file.
+    Every file gets the header as its first line (a marked row per partition
+    that holds rows sorts before the partition's lines).
     """
     path = path or shared_path(spark, "chart-csv")
-    header = spark.range(1).select(F.lit(HEADER).alias("value")).coalesce(1)
-    header.union(chart_csv_lines(chart, corrupt)).write.mode("overwrite").text(path)
+    lines = chart_csv_lines(chart, corrupt).withColumn("_part", F.pmod(F.hash("value"), F.lit(FILES)))
+    heads = lines.select("_part").distinct().select(F.lit(HEADER).alias("value"), "_part", F.lit(0).alias("_at"))
+    (heads.unionByName(lines.withColumn("_at", F.lit(1)))
+     .repartition(FILES, "_part").sortWithinPartitions("_part", "_at")
+     .select("value", "_part").write.mode("overwrite").partitionBy("_part").text(path))
     return path

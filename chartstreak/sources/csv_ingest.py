@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 from chartstreak.functions.parse import (is_blank, java_bool, java_trim, strict_date,
                                           strict_float, strict_int)
 from chartstreak.schemas import CHART_FIELDS, CSV_POSITIONS, MIN_CSV_COLUMNS
+from chartstreak.session import materialise
 
 # --- fixed values: CSV field grammar (comma, double quote, doubled-quote escape)
-_QUOTED = r'"(?:[^"]++|"")*+"'
+_QUOTED = r'"(?:[^"]++|"")*+"[ \t\x0B\f\r\x1C-\x1F]*+'   # blanks may follow a closing quote
 _PLAIN = r'[^,"][^,]*+'
-LINE_PATTERN = rf"^(?:,(?:{_QUOTED}|{_PLAIN}|))+$"      # applied to ',' + line
+# possessive throughout: the match is a loop, however many fields a line has
+LINE_PATTERN = rf"^(?:,(?:{_QUOTED}|{_PLAIN}|))++$"     # applied to ',' + line
 FIELD_PATTERN = rf",({_QUOTED}|{_PLAIN}|)"               # one field per match
 # ---------------------------------------------------------------------------
 
@@ -39,10 +41,21 @@ _PARSERS = {"string": java_trim, "int": strict_int, "float": strict_float,
 
 def _unquote(tok: Column) -> Column:
     """A quoted field loses its outer quotes and ``""`` becomes ``"``."""
-    inner = F.regexp_replace(F.regexp_replace(F.substring(tok, 2, 1 << 30), '"$', ""), '""', '"')
+    inner = F.regexp_replace(F.regexp_replace(F.substring(tok, 2, 1 << 30), r'"[ \t\x0B\f\r\x1C-\x1F]*+\z', ""),
+                             '""', '"')
     return F.when(tok.startswith('"'), inner).otherwise(tok)
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions are evaluated once per row.
+
+    A one-element ``inline`` keeps the optimizer from copying the expressions
+    into every filter and column that uses them.
+    """
+    values = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def classify_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Add ``fields``, ``valid``, ``parsed``, ``reason`` and the 19 typed columns."""
     line = F.col(line_col)
@@ -50,30 +63,27 @@ def classify_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     well_formed = prefixed.rlike(LINE_PATTERN)
     raw = F.regexp_extract_all(prefixed, F.lit(FIELD_PATTERN), 1)
     fields = F.transform(raw, _unquote)
-    df = (lines
-          .withColumn("_empty", line == "")
-          .withColumn("_wf", well_formed)
-          .withColumn("fields", F.when(F.col("_wf") & ~F.col("_empty"), fields))
-          .withColumn("nFields", F.size("fields")))
+    df = _once(lines, _empty=line == "", _wf=well_formed)
+    df = _once(df, fields=F.when(F.col("_wf") & ~F.col("_empty"), fields))
     any_blank = F.exists("fields", lambda v: is_blank(v))
-    df = df.withColumn("valid", F.coalesce(F.col("_wf") & ~F.col("_empty") & ~any_blank, F.lit(False)))
-    typed = []
+    typed = {}
     for pos, name, kind in CSV_POSITIONS:
-        v = F.when(F.col("nFields") >= MIN_CSV_COLUMNS, F.col("fields")[pos])
-        typed.append(_PARSERS[kind](v).alias(name))
-    df = df.select("*", *typed)
+        v = F.when(F.size("fields") >= MIN_CSV_COLUMNS, F.col("fields")[pos])
+        typed[name] = _PARSERS[kind](v)
+    df = _once(df, nFields=F.size("fields"), _blank=any_blank, **typed)
     all_parsed = F.lit(True)
     for name in CHART_FIELDS:
         all_parsed = all_parsed & F.col(name).isNotNull()
-    parsed = F.col("valid") & (F.col("nFields") >= MIN_CSV_COLUMNS) & all_parsed
     reason = (F.when(F.col("_empty"), "empty_line")
               .when(~F.col("_wf"), "malformed_csv")
-              .when(any_blank, "blank_field")
+              .when(F.col("_blank"), "blank_field")
               .when(F.col("nFields") < MIN_CSV_COLUMNS, "too_few_columns")
               .when(~all_parsed, "bad_value"))
-    return (df.withColumn("parsed", F.coalesce(parsed, F.lit(False)))
-              .withColumn("reason", reason)
-              .drop("_empty", "_wf"))
+    df = _once(df, reason=reason)
+    return (df.withColumn("valid", F.coalesce(~F.col("reason").isin("empty_line", "malformed_csv", "blank_field"),
+                                              F.lit(True)))
+              .withColumn("parsed", F.col("reason").isNull())
+              .drop("_empty", "_wf", "_blank"))
 
 
 @dataclass
@@ -84,20 +94,30 @@ class Ingest:
     counters: Observation   # validRecords, parsedRecords (filled by an action on ``rows``)
 
 
+HEADER_BROADCAST_MAX_BYTES = 64 << 20
+
+
 def read_lines(spark: SparkSession, path: str, header: bool | str = True) -> DataFrame:
-    """Text lines of the CSV file(s); the header line is removed.
+    """Text lines of the CSV file(s).
 
-    ``header=True`` takes the first line of the first file (sorted names) as
-    the header and drops lines equal to it, as Spark's CSV reader does.
+    ``header=True`` leaves out the first line of every file, whatever it
+    holds, and no other line. A string leaves out the lines equal to it.
     """
     lines = spark.read.text(path)
-    if header is True:
-        files = sorted(lines.inputFiles())
-        first = spark.read.text(files[0]).limit(1).collect() if files else []
-        header = first[0][0] if first else None
     if isinstance(header, str):
-        lines = lines.where(F.col("value") != F.lit(header))
-    return lines
+        return lines.where(F.col("value") != F.lit(header)).select("value")
+    if not header:
+        return lines.select("value")
+    # Rows are numbered within the scan's partitions; both scans below have the same splits. A file's first line is
+    # the smallest number in its first block.
+    numbered = lines.select("value", F.col("_metadata.file_path").alias("_file"),
+                            F.col("_metadata.file_block_start").alias("_block"),
+                            F.monotonically_increasing_id().alias("_row"))
+    first = materialise(numbered.where("_block = 0").groupBy("_file").agg(F.min("_row").alias("_first")), "csv-headers")
+    size = first.agg(F.sum(F.octet_length("_file") + 8)).first()[0] or 0
+    first = F.broadcast(first) if size <= HEADER_BROADCAST_MAX_BYTES else first
+    return numbered.join(first, "_file", "left").where(
+        F.col("_first").isNull() | (F.col("_row") != F.col("_first"))).select("value")
 
 
 def ingest_chart_csv(spark: SparkSession, path: str, header: bool | str = True,

@@ -47,6 +47,12 @@ CASES = [
     ("dance 1.0f", line(p13="1.0f"), True, True),
     ("empty line", "", False, False),
     ("blank line", "   ", False, False),
+    ("blank after closing quote", line(p1='"Song A" \t'), True, True),
+    ("blank then text after closing quote", line(p1='"Song A" x'), False, False),
+    ("2,000 extra fields", CLEAN + ",x" * 2_000, True, True),
+    ("100,000 extra fields", CLEAN + ",x" * 100_000, True, True),
+    ("100,000 fields, the last open", CLEAN + ",x" * 100_000 + ',"', False, False),
+    ("50,000 doubled quotes", line(p1='"' + '""' * 50_000 + '"'), True, True),
 ]
 
 
@@ -72,6 +78,8 @@ def test_values(classified):
     assert math.isnan(classified["dance NaN"]["danceability"])
     assert classified["clean"]["danceability"] == pytest.approx(0.7120000123977661, abs=0)
     assert classified["clean"]["durationMs"] == 200000
+    assert classified["blank after closing quote"]["name"] == "Song A"
+    assert classified["100,000 extra fields"]["nFields"] == 100_025
 
 
 def test_counters_and_header(spark, tmp_path):
@@ -85,3 +93,21 @@ def test_counters_and_header(spark, tmp_path):
     assert (c["validRecords"], c["parsedRecords"]) == (4, 2)
     reasons = sorted(r["reason"] for r in ing.rejects.collect())
     assert reasons == ["bad_value", "blank_field", "too_few_columns"]
+
+
+def test_one_line_is_left_out_per_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join(["head a", CLEAN, "head a", CLEAN]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join(["another head", line(p1="B")]) + "\n")
+    (tmp_path / "c.csv").write_text("\n".join([line(p1="first"), line(p1="C")]) + "\n")
+    (tmp_path / "d.csv").write_text("")
+    ing = ingest_chart_csv(spark, str(tmp_path))
+    assert sorted(r["name"] for r in ing.rows.collect()) == ["B", "C", "Song A", "Song A"]
+    assert [r["line"] for r in ing.rejects.collect()] == ["head a"]
+
+
+def test_fields_are_split_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join(["head", CLEAN]) + "\n")
+    ing = ingest_chart_csv(spark, str(tmp_path))
+    for df in (ing.rows, ing.rejects):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1

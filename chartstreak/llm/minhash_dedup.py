@@ -275,7 +275,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "candidate-groups")
 
     members = groups.join(classes.select("id", "n_shingles", "odd", "sign"), "id")
-    texts = src.join(groups.select("id").distinct(), "id")
+    # always a sort-merge join: texts of candidates are found the same way at every size
+    texts = src.join(groups.select("id").distinct().hint("merge"), "id")
     dealt = _dealt(groups, _sizes(groups)).join(members.select("id", "n_shingles", "odd"), "id").join(texts, "id")
     component = connected_components(_units(dealt).mapInPandas(_verified(percent, words_each), LINK))
     found = classes.select("sign", "id").join(component.withColumnRenamed("node", "id"), "id", "left").select(

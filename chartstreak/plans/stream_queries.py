@@ -13,7 +13,9 @@ from chartstreak.plans.common import flat, hits_sql, labelled_sql, with_chart
 from chartstreak.plans.queries import _label_sql, labelled, register
 from chartstreak.plans.common import chart_cols_sql
 from chartstreak.schemas import LABELLED_SCHEMA, RUN_DAYS, TOP_N
+from chartstreak.session import shared_path
 from chartstreak.sources.chart import load_chart
+from chartstreak.sources.json_io import read_labelled_json, stream_json_lines
 from chartstreak.streaming import stream as st
 
 
@@ -60,4 +62,14 @@ def q_stream_label(spark, sf_dir):
     st.drain(q1)
     out, q2 = st.label_stream(spark, st.file_stream(spark, src), hits_out)
     st.drain(q2)
-    return flat(spark.read.schema(LABELLED_SCHEMA).parquet(out))
+    return flat(spark.read.schema(LABELLED_SCHEMA).parquet(out).select(*LABELLED_SCHEMA.fieldNames()))
+
+
+@register("stream_json_sink", _label_sql("final", "annotate"))
+def q_stream_json_sink(spark, sf_dir):
+    """The rolling JSON sink on a stream, read back with a fixed schema."""
+    src = st.write_daily_files(spark, labelled(spark, sf_dir))
+    out = shared_path(spark, "json-sink")
+    st.drain(stream_json_lines(st.file_stream(spark, src, LABELLED_SCHEMA), out, f"{out}-ckpt",
+                               max_records_per_file=500, available_now=True))
+    return flat(read_labelled_json(spark, out))

@@ -1,17 +1,21 @@
 """The chart operators over JSON files arriving in a directory.
 
-* ``file_stream``: ``readStream.json`` with a fixed schema (no inference);
-  a processing-time trigger polls the directory (30 s in production),
-  ``availableNow`` drains what is there (tests, registered queries).
+* ``file_stream``: text lines decoded strictly with a fixed schema (no
+  inference; a bad line fails the query); a processing-time trigger polls the
+  directory (30 s in production), ``availableNow`` drains what is there
+  (tests, registered queries).
 * T1 ``country_batches``: ``foreachBatch`` runs ordinary batch operators per
   micro-batch and country (counts, gates, optionally the ML of ``train``).
-  ``CountryBufferProcessor`` is the exact processing-time-timer variant.
+  ``CountryWindows`` is the exact processing-time-timer variant.
 * T2 ``hit_stream``: ``transformWithStateInPandas`` keyed by (country,
-  spotifyId); state = the key's sorted top days + reported flag, bounded by
-  the number of days. Emits each hit once, at its first crossing.
+  spotifyId); state = the first and last days of the key's runs of top days and
+  a reported flag. Emits each hit once, at its first crossing.
 * T3 ``label_stream``: each micro-batch is joined to the hits table as it
   stands (size-checked broadcast).
-* T5: no watermark, as in the reference; state TTL is an optional knob.
+* T5: no watermark, as in the reference.
+
+A ``foreachBatch`` writes to a folder of its batch id and replaces it, so a
+replayed batch leaves no duplicates.
 
 Sinks and checkpoints live below the shared checkpoint folder.
 """
@@ -31,24 +35,26 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from chartstreak.operators import classify
 from chartstreak.operators.label import label
 from chartstreak.schemas import CHART_FIELDS, CHART_SCHEMA, LABELLED_SCHEMA, RUN_DAYS, TOP_N
-from chartstreak.session import shared_path
-from chartstreak.sources.json_io import JSON_OPTIONS
+from chartstreak.session import materialise, shared_path, workers_import_package
+from chartstreak.sources.json_io import JSON_OPTIONS, from_json_lines
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 POLL = "30 seconds"
+DAY = dt.timedelta(days=1)
 
 
 def write_daily_files(spark: SparkSession, rows: DataFrame, path: str | None = None) -> str:
     """Write rows as JSON files in one folder per day, oldest day first.
 
-    One distributed write, partitioned by ``snapshotDate``. File-stream
+    One distributed write, partitioned by a copy of ``snapshotDate``. File-stream
     sources take files oldest first by modification time, so each day's
     files are then stamped one second after the previous day's (file
     metadata only, no data passes the driver). A stream over this folder
     thus sees each key's days in order (within a day a key has one row).
     """
     path = path or shared_path(spark, "stream-in")
-    rows.write.mode("overwrite").partitionBy("snapshotDate").options(**JSON_OPTIONS).json(path)
+    (rows.withColumn("day", F.col("snapshotDate")).write.mode("overwrite").partitionBy("day")
+     .options(**JSON_OPTIONS).json(path))
     _stamp_days_in_order(spark, path)
     return path
 
@@ -58,7 +64,7 @@ def _stamp_days_in_order(spark: SparkSession, path: str) -> None:
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     day_dirs = sorted((st.getPath() for st in fs.listStatus(root)
-                       if st.isDirectory() and st.getPath().getName().startswith("snapshotDate=")),
+                       if st.isDirectory() and st.getPath().getName().startswith("day=")),
                       key=lambda p: p.getName())
     base = int(dt.datetime.now().timestamp() * 1000) - 1000 * (len(day_dirs) + 1)
     for i, d in enumerate(day_dirs):
@@ -70,11 +76,11 @@ def _stamp_days_in_order(spark: SparkSession, path: str) -> None:
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType = CHART_SCHEMA,
                 max_files_per_trigger: int | None = 200) -> DataFrame:
-    """New JSON files in ``path`` as a streaming DataFrame."""
-    r = spark.readStream.schema(schema).options(**JSON_OPTIONS)
+    """New JSON files in ``path`` as a streaming DataFrame, decoded strictly."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path)
+    return from_json_lines(r.text(path).select("value"), schema)
 
 
 def _start(writer, available_now: bool, poll: str = POLL):
@@ -82,12 +88,9 @@ def _start(writer, available_now: bool, poll: str = POLL):
             else writer.trigger(processingTime=poll)).start()
 
 
-def drain(query, timeout_s: int = 600) -> None:
+def drain(query) -> None:
     """Wait for an ``availableNow`` query to finish; raise its error if any."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("stream did not finish")
+    query.awaitTermination()
     if query.exception():
         raise query.exception()
 
@@ -107,15 +110,16 @@ def country_batches(spark: SparkSession, stream: DataFrame, available_now: bool
                     train=None) -> tuple[str, object]:
     """T1 with ``foreachBatch``: each micro-batch is split by country and gated.
 
-    Appends (batchId, country, records, hits, nonHits, gate) per batch;
+    Writes (batchId, country, records, hits, nonHits, gate) per batch;
     ``train(batch_df, batch_id)`` (optional) runs the per-country ML on the
-    countries that pass the gate.
+    batch, which is staged once.
     """
     out, ckpt = shared_path(spark, "country-batches-out"), shared_path(spark, "country-batches-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        gate = classify.training_gate(batch).withColumn("batchId", F.lit(batch_id).cast("long"))
-        gate.write.mode("append").parquet(out)
+        if train is not None:
+            batch = materialise(batch, f"batch-{batch_id}")
+        classify.training_gate(batch).write.mode("overwrite").parquet(f"{out}/batchId={batch_id}")
         if train is not None:
             train(batch, batch_id)
 
@@ -123,15 +127,14 @@ def country_batches(spark: SparkSession, stream: DataFrame, available_now: bool
     return out, q
 
 
-class CountryBufferProcessor(StatefulProcessor):
-    """T1 exact: per country, the first row arms a processing-time timer at
-    now + delay; when it fires, everything that arrived since is summarised
-    and the window is reset. Windows follow the data, not the clock, and do
-    not overlap.
+class CountryWindows(StatefulProcessor):
+    """T1 exact: windows of ``delay_ms`` that open with a country's first row.
 
-    The window state is two counters (records, hits), not the rows, so a
-    country holding a third of all rows still has constant-size state.
-    Emits (country, records, hits, nonHits, gate) per fired window.
+    State is a map from a window's end to its two counters (records, hits), so
+    a country holding a third of all rows has constant-size state. Spark hands
+    a batch's rows over before it fires due timers: rows that come at or after
+    the end of the open window open the next one, and each window is emitted
+    when its own end fires. Windows of fewer than two rows emit nothing.
     """
 
     def __init__(self, delay_ms: int = 30_000):
@@ -139,101 +142,120 @@ class CountryBufferProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.window = handle.getValueState("window", "records long, hits long")
-        self.timer = handle.getValueState("timer", "ts long")
+        self.windows = handle.getMapState("windows", "end long", "records long, hits long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, hits = self.window.get() if self.window.exists() else (0, 0)
-        for pdf in rows:
-            n += len(pdf)
-            hits += int(pdf["hit"].astype(bool).sum())
-        self.window.update((n, hits))
         now = timerValues.getCurrentProcessingTimeInMs()
-        if not self.timer.exists() or self.timer.get()[0] <= now:
-            ts = now + self.delay_ms
-            self.handle.registerTimer(ts)
-            self.timer.update((ts,))
+        flags = [bool(h) for frame in rows for h in frame["hit"]]
+        open_ends = [end for (end,) in self.windows.keys() if end > now]
+        if open_ends:
+            end = open_ends[0]
+            records, hits = self.windows.getValue((end,))
+        else:
+            end, records, hits = now + self.delay_ms, 0, 0
+            self.handle.registerTimer(end)
+        self.windows.updateValue((end,), (records + len(flags), hits + sum(flags)))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n, hits = self.window.get() if self.window.exists() else (0, 0)
-        self.window.clear()
-        self.timer.clear()
-        gate = (classify.TOO_FEW_ROWS if n < classify.MIN_BATCH
-                else classify.SKIPPED_ONE_CLASS if hits == 0 or hits == n else classify.TRAIN)
-        yield pd.DataFrame({"country": [key[0]], "records": [n], "hits": [hits],
-                            "nonHits": [n - hits], "gate": [gate]})
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        records, hits = self.windows.getValue((end,))
+        self.windows.removeKey((end,))
+        if records >= classify.MIN_BATCH:
+            gate = classify.TRAIN if 0 < hits < records else classify.SKIPPED_ONE_CLASS
+            yield pd.DataFrame({"country": [key[0]], "windowEnd": [end], "records": [records], "hits": [hits],
+                                "nonHits": [records - hits], "gate": [gate]})
 
     def close(self) -> None:
         pass
 
 
-COUNTRY_WINDOW_SCHEMA = "country string, records long, hits long, nonHits long, gate string"
+COUNTRY_WINDOW_SCHEMA = "country string, windowEnd long, records long, hits long, nonHits long, gate string"
 
 
 def country_windows(stream: DataFrame, delay_ms: int = 30_000) -> DataFrame:
     """T1 exact variant as a streaming DataFrame (needs the RocksDB provider)."""
+    workers_import_package(stream.sparkSession)
     return stream.select("country", "hit").groupBy("country").transformWithStateInPandas(
-        statefulProcessor=CountryBufferProcessor(delay_ms), outputStructType=COUNTRY_WINDOW_SCHEMA,
+        statefulProcessor=CountryWindows(delay_ms), outputStructType=COUNTRY_WINDOW_SCHEMA,
         outputMode="Append", timeMode="ProcessingTime")
 
 
 # --- T2: stateful streak detection ------------------------------------------
 
-def _longest_run(days: list[dt.date]) -> int:
-    best = cur = 0
-    prev = None
-    for d in days:
-        cur = cur + 1 if prev is not None and (d - prev).days == 1 else 1
-        best = max(best, cur)
-        prev = d
-    return best
-
-
-class HitStreakProcessor(StatefulProcessor):
+class Runs:
+    """A set of days kept as its runs of consecutive days: sorted first days and their last days."""
+
+    def __init__(self, firsts=(), lasts=()):
+        self.firsts, self.lasts = list(firsts), list(lasts)
+
+    def _holder(self, day: dt.date) -> int:
+        """Index of the run that holds ``day``, or -1."""
+        i = bisect.bisect_right(self.firsts, day) - 1
+        return i if i >= 0 and day <= self.lasts[i] else -1
+
+    def add(self, day: dt.date) -> int:
+        """Add a day; length of the run that now holds it."""
+        i = self._holder(day)
+        if i < 0:
+            i = bisect.bisect_right(self.firsts, day)
+            self.firsts.insert(i, day)
+            self.lasts.insert(i, day)
+            for left in (i, i - 1):   # join with the run behind, then with the one before
+                if 0 <= left < len(self.firsts) - 1 and self.lasts[left] + DAY == self.firsts[left + 1]:
+                    self.lasts[left] = self.lasts.pop(left + 1)
+                    del self.firsts[left + 1]
+            i = self._holder(day)
+        return (self.lasts[i] - self.firsts[i]).days + 1
+
+    def remove(self, day: dt.date) -> None:
+        i = self._holder(day)
+        if i >= 0:
+            parts = [(a, z) for a, z in ((self.firsts[i], day - DAY), (day + DAY, self.lasts[i])) if a <= z]
+            self.firsts[i:i + 1] = [a for a, _ in parts]
+            self.lasts[i:i + 1] = [z for _, z in parts]
+
+    def days(self) -> list[dt.date]:
+        return [a + DAY * n for a, z in zip(self.firsts, self.lasts) for n in range((z - a).days + 1)]
+
+
+class HitStreaks(StatefulProcessor):
     """The streak detector as keyed state (one key = country, spotifyId).
 
-    Rows of a key within one micro-batch are taken in date order. A top row
-    adds its day, any other row removes its day; the first time the longest
-    run reaches ``run`` the row is emitted with that run and all top days.
-    After that the key keeps only its reported flag.
+    State is the key's runs of top days. Rows of a key within one micro-batch
+    are taken by (day, rank, name): a top row joins its day to the runs beside
+    it, any other row takes its day out. The first row whose run reaches
+    ``run`` is emitted with that run's length and all top days; afterwards the
+    key keeps only its reported flag and skips its rows unread.
     """
 
     def __init__(self, top_n: int = TOP_N, run: int = RUN_DAYS):
         self.top_n, self.run = top_n, run
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", "days array<date>, reported boolean")
+        self.state = handle.getValueState("runs", "firsts array<date>, lasts array<date>, reported boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        days, reported = ([], False)
-        if self.state.exists():
-            s = self.state.get()
-            days, reported = list(s[0] or []), bool(s[1])
-        pdf = pd.concat(list(rows), ignore_index=True)
+        firsts, lasts, reported = self.state.get() if self.state.exists() else ([], [], False)
         if reported:
             return
-        pdf = pdf.sort_values("snapshotDate", kind="stable")
-        out = []
-        for rec in pdf.to_dict("records"):
-            d = rec["snapshotDate"]
-            i = bisect.bisect_left(days, d)
-            present = i < len(days) and days[i] == d
-            if rec["dailyRank"] <= self.top_n:
-                if not present:
-                    days.insert(i, d)
-                longest = _longest_run(days)
-                if longest >= self.run:
-                    rec.update(consecutiveHitDaysCount=longest,
-                               consecutiveHitDaysList=[x.isoformat() for x in days], hit=True)
-                    out.append(rec)
-                    reported, days = True, []
-                    break
-            elif present:
-                days.pop(i)
-        self.state.update((days, reported))
-        if out:
-            yield pd.DataFrame(out)[[f.name for f in LABELLED_SCHEMA.fields]]
+        runs, frames = Runs(firsts or [], lasts or []), list(rows)
+        order = sorted((day, rank, name, f, i) for f, frame in enumerate(frames) for i, (day, rank, name) in enumerate(
+            zip(frame["snapshotDate"], frame["dailyRank"], frame["name"])))
+        for day, rank, _, f, i in order:
+            if rank > self.top_n:
+                runs.remove(day)
+                continue
+            length = runs.add(day)
+            if length >= self.run:
+                hit = frames[f].iloc[[i]].copy()
+                hit["consecutiveHitDaysCount"] = length
+                hit["consecutiveHitDaysList"] = [[d.isoformat() for d in runs.days()]]
+                hit["hit"] = True
+                self.state.update(([], [], True))
+                yield hit[LABELLED_SCHEMA.fieldNames()]
+                return
+        self.state.update((runs.firsts, runs.lasts, False))
 
     def close(self) -> None:
         pass
@@ -245,24 +267,31 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 def hit_stream(stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS) -> DataFrame:
     """Hits as a streaming DataFrame (append mode, no watermark)."""
+    workers_import_package(stream.sparkSession)
     return stream.groupBy("country", "spotifyId").transformWithStateInPandas(
-        statefulProcessor=HitStreakProcessor(top_n, run), outputStructType=LABELLED_SCHEMA,
+        statefulProcessor=HitStreaks(top_n, run), outputStructType=LABELLED_SCHEMA,
         outputMode="Append", timeMode="None")
 
 
 # --- T3: labelling against the hits known so far ----------------------------
 
+def hits_so_far(spark: SparkSession, hits_path: str) -> DataFrame:
+    """The hits written so far; none if nothing was written yet. Any other failure is raised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hits_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return spark.createDataFrame([], LABELLED_SCHEMA)
+    return spark.read.schema(LABELLED_SCHEMA).parquet(hits_path)
+
+
 def label_stream(spark: SparkSession, stream: DataFrame, hits_path: str,
                  available_now: bool = True) -> tuple[str, object]:
     """Label each micro-batch against the hits table at that moment."""
     out, ckpt = shared_path(spark, "label-out"), shared_path(spark, "label-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        try:
-            hits = spark.read.schema(LABELLED_SCHEMA).parquet(hits_path)
-        except Exception:  # noqa: BLE001  (no hits written yet)
-            hits = spark.createDataFrame([], LABELLED_SCHEMA)
-        label(batch.select(*CHART_FIELDS), hits).write.mode("append").parquet(out)
+        labelled = label(batch.select(*CHART_FIELDS), hits_so_far(spark, hits_path))
+        labelled.write.mode("overwrite").parquet(f"{out}/batchId={batch_id}")
 
     q = _start(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt), available_now)
     return out, q

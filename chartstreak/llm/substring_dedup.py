@@ -111,7 +111,9 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, span: int) -> Dat
     rows = spans.select(F.posexplode("spans").alias("pos", "span"), F.struct("doc_id", "code").alias("doc"))
     place = F.struct("doc.doc_id", "doc.code", "pos")
     first = rows.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
-    later = rows.join(first.select("span", "first"), "span").where(place != F.col("first"))
+    # written first, so that the join stands between plain exchanges and Spark can split a frequent span
+    first = materialise(first.select("span", "first"), "repeated-spans").hint("merge")
+    later = rows.join(first, "span").where(place != F.col("first"))
     return later.groupBy("doc.doc_id", "doc.code").agg(F.collect_set("pos").alias("runs"))
 
 

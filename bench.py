@@ -18,13 +18,14 @@ sys.path.insert(0, ROOT)
 
 from chartstreak.plans import REGISTRY  # noqa: E402
 from chartstreak.plans.queries import labelled  # noqa: E402
-from chartstreak.plans.common import flat  # noqa: E402
 from chartstreak.session import get_session  # noqa: E402
 
 HEADLINE = [
     "csv_ingest", "hit_detect", "label_final", "label_causal", "longest_streak", "strict_parse",
     "pipeline_counters", "describe_bands", "song_profile", "json_roundtrip", "class_balance",
     "percent_normalise", "importance_unpivot", "grouped_kmeans", "stream_hit_detect",
+    "hit_detect_retract", "label_final_wide", "csv_ingest_wide", "grouped_kmeans_wide", "stream_hit_detect_wide",
+    "forest_importance",
 ]
 
 
@@ -41,10 +42,6 @@ def main() -> None:
         t0 = time.time()
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
-    # the wide chart (song = user_id, rule top 10 / 2 days): labelled end to end
-    t0 = time.time()
-    flat(labelled(spark, sf_dir, wide=True, top_n=10, run=2)).write.format("noop").mode("overwrite").save()
-    times["label_wide"] = round(time.time() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))

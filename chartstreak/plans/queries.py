@@ -88,7 +88,7 @@ def q_hit_detect(spark, sf_dir):
 
 # --- labelling ------------------------------------------------------------
 
-def _label_sql(mode: str, emit: str) -> str:
+def _label_sql(mode: str, emit: str, wide: bool = False, top_n: int = TOP_N, run: int = RUN_DAYS) -> str:
     match = "h.country is not null"
     if mode == "causal":
         match += " and c.snapshotDate > h.snapshotDate"
@@ -107,7 +107,7 @@ def _label_sql(mode: str, emit: str) -> str:
              f"case when {match} then h.consecutiveHitDaysList else '' end as consecutiveHitDaysList",
              f"coalesce({match}, false) as hit"]
     return with_chart(f"select {', '.join(cols)} from chart c left join hits h using (country, spotifyId)",
-                      extra=hits_sql(TOP_N, RUN_DAYS))
+                      wide=wide, extra=hits_sql(top_n, run))
 
 
 def labelled(spark, sf_dir, mode="final", emit="annotate", wide=False, top_n=TOP_N, run=RUN_DAYS):

@@ -19,6 +19,7 @@ SCALE_WORDS = {  # feature: (low word, high word); below 0.3 low, above 0.7 high
     "energy": ("low energy", "high energy"),
     "acousticness": ("electronic", "acoustic"),
 }
+SCALE_LOW, SCALE_HIGH, SCALE_BETWEEN = 0.3, 0.7, "moderate"
 LOUDNESS = [(-5, "very loud"), (-10, "moderately loud")], "quiet"                     # value > t
 SPEECHINESS = [(0.66, "talk-like (e.g., podcast)"), (0.33, "some speech")], "musical"  # value > t
 INSTRUMENTALNESS = [(0.7, "mostly instrumental"), (0.3, "partly instrumental")], "mostly vocal"
@@ -28,6 +29,11 @@ TEMPO = [(60, "very slow"), (90, "slow"), (120, "moderate"), (150, "fast")], "ve
 METER = (4.0, "common time", "unusual meter")
 MOOD = [(0.75, "upbeat"), (0.5, "bright"), (0.3, "moody")], "dark"                  # valence > t
 DANCE = [(0.7, "danceable"), (0.4, "groovy")], ""                                   # danceability > t
+# tempo < t: word; a second word stands for energy > TEMPO_ENERGY
+TEMPO_WORDS = [(70, "slow", None), (110, "calm", "steady"), (140, "energetic", None)], "fast"
+TEMPO_ENERGY = 0.6
+ACOUSTIC = (0.7, 0.4, "jazz song", "folk song")     # acousticness > t: by energy < e
+ELECTRIC = [(0.7, "pop song"), (0.4, "rock song")], "electronic song"   # energy > t
 UNKNOWN_SONG = "unknown song"
 PROFILE_LINES = [
     "Explicit: ~%.0f%% of song marked explicit",
@@ -76,7 +82,8 @@ def _chain(x: Column, rule, cmp) -> Column:
 
 def scale_band(x: Column, low: str, high: str) -> Column:
     """below 0.3 -> low, above 0.7 -> high, else moderate."""
-    return F.when(lt(x, 0.3), F.lit(low)).when(gt(x, 0.7), F.lit(high)).otherwise(F.lit("moderate"))
+    return (F.when(lt(x, SCALE_LOW), F.lit(low)).when(gt(x, SCALE_HIGH), F.lit(high))
+            .otherwise(F.lit(SCALE_BETWEEN)))
 
 
 def loudness_band(x: Column) -> Column:        # F12
@@ -182,10 +189,13 @@ def mood_word(valence: Column) -> Column:      # F22
 
 
 def tempo_word(tempo: Column, energy: Column) -> Column:  # F23
-    return (F.when(lt(tempo, 70), F.lit("slow"))
-            .when(lt(tempo, 110), F.when(gt(energy, 0.6), F.lit("steady")).otherwise(F.lit("calm")))
-            .when(lt(tempo, 140), F.lit("energetic"))
-            .otherwise(F.lit("fast")))
+    steps, last = TEMPO_WORDS
+    words = [(t, w if lively is None else F.when(gt(energy, TEMPO_ENERGY), lively).otherwise(w))
+             for t, w, lively in steps]
+    out = F.when(lt(tempo, words[0][0]), words[0][1])
+    for t, word in words[1:]:
+        out = out.when(lt(tempo, t), word)
+    return out.otherwise(last)
 
 
 def dance_word(danceability: Column) -> Column:  # F24
@@ -193,11 +203,9 @@ def dance_word(danceability: Column) -> Column:  # F24
 
 
 def genre_word(acousticness: Column, energy: Column) -> Column:  # F25
-    return (F.when(gt(acousticness, 0.7),
-                   F.when(lt(energy, 0.4), F.lit("jazz song")).otherwise(F.lit("folk song")))
-            .when(gt(energy, 0.7), F.lit("pop song"))
-            .when(gt(energy, 0.4), F.lit("rock song"))
-            .otherwise(F.lit("electronic song")))
+    above, below, quiet, loud = ACOUSTIC
+    return F.when(gt(acousticness, above), F.when(lt(energy, below), quiet).otherwise(loud)).otherwise(
+        _chain(energy, ELECTRIC, gt))
 
 
 def short_summary(arr: Column) -> Column:

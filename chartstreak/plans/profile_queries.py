@@ -42,31 +42,40 @@ def chain_sql(x, rule, cmp):
     return "case " + " ".join(f"when {cmp(x, t)} then '{w}'" for t, w in steps) + f" else '{last}' end"
 
 
+def scale_sql(x, low, high):
+    return f"case when {lt(x, 0.3)} then '{low}' when {gt(x, 0.7)} then '{high}' else 'moderate' end"
+
+
 def bands_sql(f) -> dict[str, str]:
-    """Band words in DuckDB SQL from a feature accessor ``f(name) -> sql``."""
-    out = {}
-    for n, (lo, hi) in pf.SCALE_WORDS.items():
-        out[f"{n}Band"] = (f"case when {lt(f(n), 0.3)} then '{lo}' when {gt(f(n), 0.7)} then '{hi}' "
-                           f"else 'moderate' end")
-    out["loudnessBand"] = chain_sql(f("loudness"), pf.LOUDNESS, gt)
-    out["speechinessBand"] = chain_sql(f("speechiness"), pf.SPEECHINESS, gt)
-    out["instrumentalnessBand"] = chain_sql(f("instrumentalness"), pf.INSTRUMENTALNESS, gt)
-    out["livenessBand"] = chain_sql(f("liveness"), pf.LIVENESS, gt)
-    out["valenceBand"] = chain_sql(f("valence"), pf.VALENCE, gt)
-    out["tempoBand"] = chain_sql(f("tempo"), pf.TEMPO, lt)
+    """Band words in DuckDB SQL from a feature accessor ``f(name) -> sql``; words and thresholds stated here anew."""
+    out = {
+        "danceabilityBand": scale_sql(f("danceability"), "undanceable", "highly danceable"),
+        "energyBand": scale_sql(f("energy"), "low energy", "high energy"),
+        "acousticnessBand": scale_sql(f("acousticness"), "electronic", "acoustic"),
+        "loudnessBand": chain_sql(f("loudness"), ([(-5, "very loud"), (-10, "moderately loud")], "quiet"), gt),
+        "speechinessBand": chain_sql(f("speechiness"), ([(0.66, "talk-like (e.g., podcast)"), (0.33, "some speech")],
+                                                        "musical"), gt),
+        "instrumentalnessBand": chain_sql(f("instrumentalness"), (
+            [(0.7, "mostly instrumental"), (0.3, "partly instrumental")], "mostly vocal"), gt),
+        "livenessBand": chain_sql(f("liveness"), ([(0.8, "live performance"), (0.3, "live-like ambiance")],
+                                                  "studio recording"), gt),
+        "valenceBand": chain_sql(f("valence"), ([(0.75, "happy"), (0.4, "positive")], "serious"), gt),
+        "tempoBand": chain_sql(f("tempo"), ([(60, "very slow"), (90, "slow"), (120, "moderate"), (150, "fast")],
+                                            "very fast"), lt),
+    }
     k = f"(case when isnan({f('key')}) then 0 else floor({f('key')} + 0.5) end)"
-    names = ", ".join(f"'{p}'" for p in pf.PITCH_CLASSES)
+    names = ", ".join(f"'{p}'" for p in "C C#/Db D D#/Eb E F F#/Gb G G#/Ab A A#/Bb B".split())
     out["pitchClass"] = f"case when {k} >= 0 then ([{names}])[cast({k} % 12 + 1 as integer)] end"
     out["meter"] = f"case when {f('timeSignature')} = 4.0 then 'common time' else 'unusual meter' end"
     return out
 
 
 def summary_sql(f) -> str:
-    mood = chain_sql(f("valence"), pf.MOOD, gt)
+    mood = chain_sql(f("valence"), ([(0.75, "upbeat"), (0.5, "bright"), (0.3, "moody")], "dark"), gt)
     tempo = (f"case when {lt(f('tempo'), 70)} then 'slow' when {lt(f('tempo'), 110)} then "
              f"(case when {gt(f('energy'), 0.6)} then 'steady' else 'calm' end) "
              f"when {lt(f('tempo'), 140)} then 'energetic' else 'fast' end")
-    dance = chain_sql(f("danceability"), pf.DANCE, gt)
+    dance = chain_sql(f("danceability"), ([(0.7, "danceable"), (0.4, "groovy")], ""), gt)
     genre = (f"case when {gt(f('acousticness'), 0.7)} then (case when {lt(f('energy'), 0.4)} then 'jazz song' "
              f"else 'folk song' end) when {gt(f('energy'), 0.7)} then 'pop song' "
              f"when {gt(f('energy'), 0.4)} then 'rock song' else 'electronic song' end")

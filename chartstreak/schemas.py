@@ -31,6 +31,7 @@ CSV_POSITIONS = [
 
 KEY = ["country", "spotifyId"]
 
+# --- fixed values: the chart row (field names, order and types are the data contract)
 CHART_SCHEMA = T.StructType([
     T.StructField("spotifyId", T.StringType()),
     T.StructField("name", T.StringType()),

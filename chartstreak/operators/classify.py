@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartstreak.schemas import CHART_FIELDS
-
 # --- fixed values: gate statuses ---------------------------------------------
 MIN_BATCH = 2
 TOO_FEW_ROWS = "TOO_FEW_ROWS"
@@ -59,5 +57,3 @@ def first_of_group(labelled: DataFrame, by: str = "country",
     cols = [c for c in labelled.columns if c != by]
     return both.select(by, "sample", *[F.col(f"r.{c}").alias(c) for c in cols])
 
-
-__all__ = ["hits_only", "class_balance", "training_gate", "first_of_group", "CHART_FIELDS"]

@@ -34,11 +34,6 @@ def with_chart(body: str, wide: bool = False, extra: str = "") -> str:
     return f"with {ctes}\n{body}"
 
 
-CHART_COLS_SQL = ("spotifyId, name, dailyRank, country, cast(snapshotDate as varchar) as snapshotDate, "
-                  "explicit, durationMs, danceability, energy, key, loudness, mode, speechiness, "
-                  "acousticness, instrumentalness, liveness, valence, tempo, timeSignature")
-
-
 def chart_cols_sql(alias: str = "") -> str:
     p = f"{alias}." if alias else ""
     names = ["spotifyId", "name", "dailyRank", "country", "snapshotDate", "explicit", "durationMs",

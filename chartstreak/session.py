@@ -91,12 +91,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1_000, 16 << 20
+
+
 def workers_import_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where the driver's checkout is visible to them.
+    """Prepare a session for Python operators: the package's path, and small batches.
 
-    On a cluster without a common checkout ship the package with ``--py-files``.
+    Python workers can import the package where the driver's checkout is
+    visible to them; on a cluster without one ship it with ``--py-files``.
+    Batches of ``ROWS_PER_BATCH`` rows bound a worker's memory when texts are long.
     """
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_HOME not in paths:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ROWS_PER_BATCH:
+        spark.conf.set(rows, ROWS_PER_BATCH)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)

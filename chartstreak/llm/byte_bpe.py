@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from chartstreak.llm.common import Generations, quoted, table, text_of
 from chartstreak.session import workers_import_package
 
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 LONGEST_KEPT = 64
 BORDER = "Ā"  # not a Latin-1 character, so in no token
 

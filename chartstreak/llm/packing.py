@@ -35,7 +35,7 @@ from chartstreak.session import materialise, workers_import_package
 
 CAPACITY = 4096
 END_ID = 1
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 LONGEST_KEPT = 64
 
 _encoders: dict = {}

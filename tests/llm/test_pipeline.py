@@ -56,7 +56,37 @@ def test_empty_table(spark):
     assert all(d.collect() == [] for d in out.values())
 
 
-def test_run_reads_documents(spark):
-    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+def test_run_matches_brute_force(spark):
+    """Every stage done again without Spark's operators, over all documents of the smallest scale."""
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    import test_minhash_dedup
+    import test_substring_dedup
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    docs = [(i, t) for i, t in docs if any(c.isalpha() for c in t or "")]
+    last = {t: i for i, t in sorted(docs)}
+    docs = [(i, t) for i, t in docs if last[t] == i]
+    near = test_minhash_dedup.brute(docs, 80)
+    docs = [(i, t) for i, t in docs if near[i][2]]
+    texts = test_substring_dedup.brute(docs)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = set()
+    for i, text in texts.items():
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [1], "<u4")
+        for n, at in enumerate(range(0, len(ids), 4096)):
+            piece = ids[at:at + 4096]
+            want.add((i, n, at, len(piece), zlib.crc32(piece.tobytes())))
+    out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    assert out.count() > 0
+    rows = out.collect()
+    assert {tuple(r)[:5] for r in rows} == want and len(rows) == len(want)
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 4096 and len(ends) <= -(-sum(r.length for r in rows) // 4096) + 1

@@ -297,3 +297,28 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+with recursive split as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingled as (
+  select doc_id, unnest(list_distinct(case
+    when len(w) >= 5 then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+    when len(w) > 0 then [array_to_string(w, ' ')] end)) as shingle
+  from split),
+sizes as (select doc_id, count(*) as n from shingled group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingled a join shingled b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+least as (select a, min(b) as b from reach group by a)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.b, d.doc_id)) as kept
+from documents d left join sizes using (doc_id) left join least l on l.a = d.doc_id"""

@@ -8,10 +8,10 @@ from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from chartstreak.llm.html_extract import op6_html_extract
 from chartstreak.llm.language_id import op10_language_id
-from chartstreak.llm.minhash_dedup import op7_minhash_dedup
+from chartstreak.llm.minhash_dedup import OP7_SQL, op7_minhash_dedup
 from chartstreak.llm.packing import op5_best_fit_packing
 from chartstreak.llm.substring_dedup import op4_substring_dedup
-from chartstreak.llm.warc import op9_warc_index
+from chartstreak.llm.warc import OP9_SQL, op9_warc_index
 
 REGISTRY = {
     "op1_embedding_dedup": (op1_embedding_dedup, OP1_SQL),
@@ -20,8 +20,8 @@ REGISTRY = {
     "op4_substring_dedup": (op4_substring_dedup, None),
     "op5_best_fit_packing": (op5_best_fit_packing, None),
     "op6_html_extract": (op6_html_extract, None),
-    "op7_minhash_dedup": (op7_minhash_dedup, None),
+    "op7_minhash_dedup": (op7_minhash_dedup, OP7_SQL),
     "op8_byte_bpe": (op8_byte_bpe, None),
-    "op9_warc_index": (op9_warc_index, None),
+    "op9_warc_index": (op9_warc_index, OP9_SQL),
     "op10_language_id": (op10_language_id, None),
 }

@@ -242,4 +242,21 @@ def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "yyyy-MM-dd'T'HH:mm:ss'Z'")
     write_warc(table(spark, sf_dir, "pages"), path, captured=captured)
     return merge_index(read_captures(spark, path)).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "shard", "position", "url_key")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+with payloads as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hexa from pages),
+coded as (
+  select page_id, payload_bytes, array_to_string(flatten(
+    [[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             cast((cast('0x' || substr(hexa, cast(1 + 10 * g as bigint), 10) as bigint)
+                   >> cast(35 - 5 * k as integer)) & 31 as integer) + 1, 1)
+      for k in range(8)] for g in range(4)]), '') as payload_digest
+  from payloads),
+firsts as (select *, min(page_id) over (partition by payload_digest) as first_id from coded)
+select page_id, payload_bytes, payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from firsts"""

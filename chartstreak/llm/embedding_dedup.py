@@ -20,9 +20,11 @@ representative of each component, the smallest id, is kept.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors without a label, link with nothing; neither do vectors
-of different lengths. Repeated rows are vectors of their own. A null id sorts
-behind all ids. An empty table gives an empty result. Other columns are not
-read.
+of different lengths. Repeated rows are vectors of their own. Each distinct
+vector is a node of its own, whatever ids its rows have, so rows with the same
+id or without one are not mixed up; of rows without an id one is kept, and only
+if no row of the component has an id. A null id sorts behind all ids. An empty
+table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +40,6 @@ from chartstreak.llm.common import quoted, table
 from chartstreak.llm.components import connected_components
 from chartstreak.session import materialise, workers_import_package
 
-NO_ID = (1 << 63) - 1
 KEY = ["label", "h1", "h2"]
 
 
@@ -164,11 +165,17 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     usable = (F.col("label").isNotNull() & F.col("v").isNotNull()
               & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists("v", lambda x: x != 0))
-    src = src.select("vec_id", F.coalesce("vec_id", F.lit(NO_ID)).alias("id"), "label", "v",
-                     F.xxhash64("v").alias("h1"), F.hash("v").alias("h2"),
-                     F.coalesce(usable, F.lit(False)).alias("usable"))
-    distinct = materialise(src.where("usable").groupBy(*KEY).agg(
-        F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v")), "distinct-vectors")
+    src = materialise(src.select("vec_id", "label", "v", F.xxhash64("v").alias("h1"), F.hash("v").alias("h2"),
+                                 F.coalesce(usable, F.lit(False)).alias("usable"),
+                                 F.monotonically_increasing_id().alias("row")), "vectors")
+    # rows without an id are told apart by their written row number
+    missing = F.col("vec_id").isNull()
+    src = src.withColumn("me", F.struct(missing.alias("missing"), F.coalesce("vec_id", F.lit(0)).alias("vec"),
+                                        F.when(missing, F.col("row")).otherwise(0).alias("row")))
+    distinct = src.where("usable").groupBy(*KEY).agg(
+        F.min("me").alias("head"), F.count("*").alias("n"), F.first("v").alias("v"))
+    # the number of a distinct vector is its node from here on
+    distinct = materialise(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-vectors")
 
     total = distinct.count()
     largest = distinct.groupBy("label").count().agg(F.max("count")).first()[0] or 0
@@ -207,16 +214,20 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         _compare(threshold), "id long, links long, root long"), "vector-links")
     component = connected_components(partial.select("id", "root"), "id", "root")
     links = partial.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = (distinct.drop("v").join(links, "id", "left")
-               .join(component.withColumnRenamed("node", "id"), "id", "left")
-               .select(*KEY, (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                       F.coalesce("component", "id").alias("component")))
-    linked = src.where("usable").select("vec_id", "id", *KEY).join(classes, KEY).select(
-        "vec_id", "n_links", F.nullif("component", F.lit(NO_ID)).alias("component_id"))
+    joined = component.withColumnRenamed("node", "id").join(distinct.select("id", "head"), "id")
+    # the smallest row of a component; of vectors that repeat its id the smallest node. Written before the join
+    least = materialise(joined.groupBy("component").agg(F.min(F.struct("head", "id")).alias("least")),
+                        "component-heads").hint("merge")
+    least = joined.join(least, "component").select("id", "least")
+    classes = (distinct.drop("v").join(links, "id", "left").join(least, "id", "left")
+               .select(*KEY, (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "id",
+                       F.coalesce("least", F.struct("head", "id")).alias("least")))
+    linked = src.where("usable").select("vec_id", "me", *KEY).join(classes, KEY).select(
+        "vec_id", "n_links", F.when(~F.col("least.head.missing"), F.col("least.head.vec")).alias("component_id"),
+        ((F.col("least.head") == F.col("me")) & (F.col("least.id") == F.col("id"))).alias("kept"))
     alone = src.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                                               F.col("vec_id").alias("component_id"))
-    return linked.union(alone).select(F.col("vec_id").alias(id_col), "n_links", "component_id",
-                                      F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+                                               F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.union(alone).withColumnRenamed("vec_id", id_col)
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,12 @@ buckets, groups or partners: large ones are dealt to more units.
 Defined results: words are the runs of other characters than ASCII white
 space, A-Z in lower case; a text of fewer words than a shingle has one shingle,
 its whole word sequence; a null text or one without words has an empty set and
-links with nothing. Rows with the same id are one document for linking (each
-row is reported). Null ids sort behind all ids. An empty table gives an empty
+links with nothing. Links are between classes (a class is a node of its own,
+whatever ids its rows have), so rows with the same id or without one are not
+mixed up; ids are only reported. Of each component the row with the smallest id
+is kept, of equal ids the one with the smallest text hash. Rows that repeat id
+and text are one document (each row is reported alike); rows without an id are
+documents of their own and sort behind all ids. An empty table gives an empty
 result. Other columns are not read.
 """
 
@@ -49,7 +53,6 @@ BANDS, ROWS = 30, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 ADMIT = 0.6
-NO_ID = (1 << 63) - 1
 _RANDOM = np.random.default_rng(20240229)
 FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _RANDOM.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -114,17 +117,26 @@ def differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+# A row is known by whether it has no id, its id (else 0) and the hash of its text.
+ROW = ["missing", "doc", "code"]
+
+
+def _row_of(id_col: str, text_col: str) -> list:
+    id_ = F.col(quoted(id_col)).cast("long")
+    return [id_.isNull().alias("missing"), F.coalesce(id_, F.lit(0)).alias("doc"), F.md5(text_of(text_col)).alias("code")]
+
+
 def _sketches(words_each: int):
     def sketches(batches):
         for frame in batches:
             out = []
-            for doc, text in zip(frame["id"], frame["text"]):
+            for missing, doc, code, text in zip(*(frame[c] for c in ROW + ["text"])):
                 found = shingles(text, words_each)
                 sign = xxhash.xxh3_128_digest(found.tobytes())
                 least = minhash(found) if len(found) else None
-                out.append((doc, len(found), sign, None if least is None else band_keys(least),
+                out.append((missing, doc, code, len(found), sign, None if least is None else band_keys(least),
                             None if least is None else odd_sketch(least)))
-            yield pd.DataFrame(out, columns=["id", "n_shingles", "sign", "bands", "odd"])
+            yield pd.DataFrame(out, columns=[*ROW, "n_shingles", "sign", "bands", "odd"])
     return sketches
 
 
@@ -253,19 +265,21 @@ def _sizes(members: DataFrame) -> DataFrame:
     return counts.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
-                    words_each: int = 5) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``."""
+def _near(docs: DataFrame, id_col: str, text_col: str, percent: int, words_each: int) -> DataFrame:
+    """One row per document: ``ROW``, ``n_shingles``, ``head`` (the kept row of its component) and ``kept``."""
     spark = docs.sparkSession
     workers_import_package(spark)
-    src = docs.select(F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(NO_ID)).alias("id"),
-                      text_of(text_col).alias("text"))
-    rows = materialise(src.mapInPandas(_sketches(words_each),
-                                       "id long, n_shingles long, sign binary, bands array<long>, odd binary"),
-                       "sketches")
-    classes = materialise(rows.where("n_shingles > 0").groupBy("sign").agg(
-        F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-        F.first("odd").alias("odd")), "shingle-classes")
+    src = docs.select(*_row_of(id_col, text_col), text_of(text_col).alias("text"))
+    rows = src.mapInPandas(_sketches(words_each), "missing boolean, doc long, code string, n_shingles long, sign binary, "
+                                                  "bands array<long>, odd binary")
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    # rows without an id are told apart by their written row number
+    rows = rows.withColumn("me", F.struct(*ROW, F.when(F.col("missing"), F.col("row")).otherwise(0).alias("row")))
+    classes = rows.where("n_shingles > 0").groupBy("sign").agg(
+        F.min("me").alias("head"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.first("odd").alias("odd"))
+    # the number of a class is its node from here on
+    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "shingle-classes")
 
     keyed = classes.select(F.explode("bands").alias("bucket"), "id")
     shared = materialise(_dealt(keyed, _sizes(keyed)), "shared-buckets")
@@ -274,25 +288,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = materialise(connected_components(near).select(F.col("node").alias("id"), F.col("component").alias("bucket")),
                          "candidate-groups")
 
-    members = groups.join(classes.select("id", "n_shingles", "odd", "sign"), "id")
+    members = groups.join(classes.select("id", "n_shingles", "odd", "head"), "id")
     # always a sort-merge join: texts of candidates are found the same way at every size
-    texts = src.join(groups.select("id").distinct().hint("merge"), "id")
+    heads = members.select("id", *(F.col(f"head.{c}").alias(c) for c in ROW)).hint("merge")
+    # repeated rows bring the same text again: one per class goes on
+    texts = src.join(heads, ROW).groupBy("id").agg(F.first("text").alias("text"))
     dealt = _dealt(groups, _sizes(groups)).join(members.select("id", "n_shingles", "odd"), "id").join(texts, "id")
     component = connected_components(_units(dealt).mapInPandas(_verified(percent, words_each), LINK))
-    found = classes.select("sign", "id").join(component.withColumnRenamed("node", "id"), "id", "left").select(
-        "sign", F.coalesce("component", "id").alias("component"))
-    out = rows.select("id", "n_shingles", "sign").join(found, "sign", "left").select(
-        F.nullif("id", F.lit(NO_ID)).alias(id_col), "n_shingles",
-        F.nullif(F.coalesce("component", "id"), F.lit(NO_ID)).alias("component_id"))
-    return out.withColumn("kept", F.col(quoted(id_col)).eqNullSafe(F.col("component_id")))
+    linked = component.withColumnRenamed("node", "id").join(classes.select("id", "head"), "id")
+    # written first, so that Spark can split a large component
+    first = materialise(linked.groupBy("component").agg(F.min("head").alias("first")), "component-heads")
+    first = linked.join(first.hint("merge"), "component").select("id", "first")
+    found = classes.select("sign", "id", "head").join(first, "id", "left").select(
+        "sign", F.coalesce("first", "head").alias("head"))
+    return rows.select(*ROW, "n_shingles", "sign", "me").join(found, "sign", "left").select(
+        *ROW, "n_shingles", F.coalesce("head", "me").alias("head"),
+        F.coalesce(F.col("head") == F.col("me"), F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
+                    words_each: int = 5) -> DataFrame:
+    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``."""
+    return _near(docs, id_col, text_col, percent, words_each).select(
+        F.when(~F.col("missing"), F.col("doc")).alias(id_col), "n_shingles",
+        F.when(~F.col("head.missing"), F.col("head.doc")).alias("component_id"), "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns."""
-    kept = fresh(docs, "kept_id")
-    ids = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col(quoted(id_col)).alias(kept))
-    return docs.join(ids.distinct(), F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(kept)), "left_semi")
+    missing, doc, code, one = (fresh(docs, c) for c in ("kept_missing", "kept_doc", "kept_code", "kept_one"))
+    # rows without an id and with equal texts share a key, but only one of them is kept
+    one_of = (F.col("missing") & (F.col("n_shingles") > 0)).alias("one")
+    keys = materialise(_near(docs, id_col, text_col, percent, 5).where("kept").select(*ROW, one_of).distinct(),
+                       "kept-rows").toDF(missing, doc, code, one)
+    is_row = [a.eqNullSafe(F.col(b)) for a, b in zip(_row_of(id_col, text_col), (missing, doc, code))]
+    several = docs.join(keys.where(~F.col(one)), is_row, "left_semi")
+    single = docs.where(F.col(quoted(id_col)).cast("long").isNull()).join(keys.where(one), is_row)
+    return several.union(single.dropDuplicates([code]).select(*(F.col(quoted(c)) for c in docs.columns)))
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

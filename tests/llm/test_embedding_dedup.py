@@ -56,6 +56,16 @@ def test_copies_repeats_and_null_ids(spark):
     assert sorted((r.n_links, str(r.component_id)) for r in out if r.vec_id is None) == [(0, "None"), (51, "0")]
 
 
+def test_vectors_without_an_id_are_not_one_vector(spark):
+    rows = [(5, [1.0, 0.0, 0.0, 0.0], 1), (None, [1.0, 0.01, 0.0, 0.0], 1), (None, [0.0, 1.0, 0.0, 0.0], 1),
+            (None, [0.0, 0.0, 1.0, 0.0], 1), (None, [0.0, 0.0, 1.0, 0.01], 1), (6, [0.0, 0.0, 0.0, 1.0], 1),
+            (6, [0.0, -1.0, 0.0, 0.0], 1), (7, [0.0, -1.0, 0.01, 0.0], 1)]
+    out = op.link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in out) == [
+        ("5", 1, "5", True), ("6", 0, "6", True), ("6", 1, "6", True), ("7", 1, "6", False),
+        ("None", 0, "None", True), ("None", 1, "5", False), ("None", 1, "None", False), ("None", 1, "None", True)]
+
+
 def test_empty_table(spark):
     assert op.link_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 

@@ -78,6 +78,27 @@ def test_null_ids_and_repeated_rows(spark):
         ("4", "4", True), ("4", "4", True), ("None", "4", False), ("None", "None", True)]
 
 
+def test_documents_without_an_id_are_not_one_document(spark):
+    rng = random.Random(4)
+    text = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    near, hidden, reused, alone = text(), text(), text(), [text() for _ in range(20)]
+    # a null-id near copy of 5, near copies and copies without any id, unrelated ones, and an id used for two texts
+    rows = [(5, near), (None, near + " more"), (None, hidden), (None, hidden + " more"), (None, hidden)]
+    rows += [(None, t) for t in alone] + [(7, reused), (7, alone[0] + " more"), (8, reused + " more"), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, "", 1) for i, t in rows], SCHEMA)
+    out = op.near_duplicates(df).collect()
+    assert len(out) == len(rows)
+    by = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in out)
+    assert by == sorted([("5", "5", True), ("None", "5", False), ("None", "None", False), ("None", "None", False),
+                         ("None", "None", True), ("7", "7", True), ("7", "7", True), ("8", "7", False),
+                         ("None", "7", False)] + [("None", "None", True)] * 20)
+    left = [(r.doc_id, r.text) for r in op.drop_near_duplicates(df, percent=85).collect()]
+    hidden_left = [t for i, t in left if t and t.startswith(hidden)]
+    assert len(hidden_left) == 1
+    want = [(5, near), (7, reused), (7, alone[0] + " more"), (None, None)] + [(None, t) for t in alone[1:]]
+    assert sorted(map(str, left)) == sorted(map(str, want + [(None, hidden_left[0])]))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert op.near_duplicates(df).collect() == [] and op.drop_near_duplicates(df).collect() == []

@@ -25,7 +25,9 @@ the stream.
 
 Defined results: null html counts as empty and gives an empty text; a url that
 is null or has no host belongs to the host ''. Repeated rows are pages each.
-Cut-off pages are read as far as they go. Character references are decoded,
+Cut-off pages are read as far as they go: a head without its closing tag ends at
+the first text or tag that cannot stand in it, and of skipped elements left open
+only script, style and textarea run to the end. Character references are decoded,
 white space inside a block (line breaks too) becomes one space, blocks are
 joined by one line end. An empty table gives an empty result. Other columns are
 not read.
@@ -56,6 +58,12 @@ CONTAINERS = set("article aside body dialog div dl fieldset figure footer form h
 BLOCKS = set("address blockquote caption center dd details dt figcaption h1 h2 h3 h4 h5 h6 hr legend li option p pre "
              "summary tbody td tfoot th thead tr".split())
 RAW = set("head script style noscript template svg math iframe object canvas audio video textarea button title".split())
+# Elements whose text runs to the end of the page if their closing tag is missing.
+UNENDING = set("script style textarea".split())
+# Elements whose own text is no page text: without a closing tag a title ends at the next tag, others at the next block.
+LABELS = set("title button svg math template".split())
+# Tags that can stand in the head; the first other one ends a head that is left open.
+HEAD_TAGS = set("base basefont bgsound link meta noframes noscript script style template title".split())
 # Names of what is not the article, and of what is.
 APART_TAGS = set("nav footer aside form menu select dialog".split())
 APART_NAMES = set(
@@ -86,6 +94,51 @@ def signature(name: str, attrs: str) -> str:
     return ".".join([name, *dict.fromkeys(words)])
 
 
+def _tag(m) -> tuple[str, bool, str]:
+    """Name, whether it closes, and attributes of a ``TOKEN`` match."""
+    return (m["name"] or m["name2"] or "").lower(), bool(m["close"] or m["close2"]), m["attrs"] or m["attrs2"] or ""
+
+
+def after_raw(name: str, source: str, at: int, unclosed: set) -> int:
+    """Where the page goes on after a ``RAW`` element whose opening tag ends at ``at``.
+
+    ``unclosed`` collects the names that have no closing tag in the rest of the page.
+    """
+    if name == "head":
+        return _after_head(source, at, unclosed)
+    if name not in unclosed:
+        if end := re.compile(rf"</{name}\s*>", re.I).search(source, at):
+            return end.end()
+        unclosed.add(name)
+    if name in UNENDING:
+        return len(source)
+    if name not in LABELS:
+        return at
+    while m := TOKEN.search(source, at):
+        tag, _, _ = _tag(m)
+        if tag and name == "title" or tag in CONTAINERS or tag in BLOCKS or tag == "body":
+            return m.start()
+        at = m.end()
+    return len(source)
+
+
+def _after_head(source: str, at: int, unclosed: set) -> int:
+    """The end of a head: its closing tag, or what cannot stand in a head if that comes first."""
+    stray = None
+    while m := TOKEN.search(source, at):
+        if stray is None and source[at:m.start()].strip():
+            stray = at
+        tag, closing, attrs = _tag(m)
+        if closing and tag == "head":
+            return m.end()
+        if tag and (tag in ("body", "html") if closing else tag not in HEAD_TAGS and tag not in ("head", "html")):
+            return m.start() if stray is None else stray
+        at = m.end()
+        if tag in RAW and tag != "head" and not closing and not attrs.endswith("/"):
+            at = after_raw(tag, source, at, unclosed)
+    return at if stray is None else stray
+
+
 class Page:
     """Stream of a page: ``keys`` (tokens), ``texts`` and ``slots`` (by position of the text tokens)."""
 
@@ -99,6 +152,7 @@ class Page:
         parts: list = []
         linked = 0
         in_link = False
+        unclosed: set = set()
 
         def flush():
             nonlocal linked
@@ -122,15 +176,12 @@ class Page:
         while m := TOKEN.search(source, at):
             add_text(source[at:m.start()])
             at = m.end()
-            name = (m["name"] or m["name2"] or "").lower()
+            name, closing, attrs = _tag(m)
             if not name:
                 continue
-            closing = bool(m["close"] or m["close2"])
-            attrs = m["attrs"] or m["attrs2"] or ""
             if name in RAW:
                 if not closing and not attrs.endswith("/"):
-                    end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
-                    at = end.end() if end else len(source)
+                    at = after_raw(name, source, at, unclosed)
                     if name != "head" and name not in ("script", "style"):
                         parts.append(" ")
             elif name in CONTAINERS:

@@ -62,6 +62,24 @@ def test_articles_are_extracted(spark):
     assert {(r.page_id, r.url) for r in out} == {(r[0], r[1]) for r in rows}
 
 
+def test_open_head_and_open_elements_keep_the_text(spark):
+    body = "<article><h1>Title</h1><p>First.</p>{}<p>Second.</p></article>"
+    head = '<html><head><meta charset=x><title>T</title><script>"<p>no</p>"</script><style>p{}</style>'
+    whole = "Title\nFirst.\nSecond."
+    made = [(head + "<body>" + body.format(""), whole), (head + body.format("") + "</html>", whole),
+            ("<head><title>T<meta charset=x><body>" + body.format(""), whole),
+            ("<head><title>T</title>Text <b>here", "Text here"), ("<head><title>T</title></head><p>Text", "Text"),
+            ("<head><noscript><link></noscript><title>T</title><div>Text</div>", "Text"), ("<head><title>T", "")]
+    made += [(head + "</head><body>" + body.format(f"<{x}>"), whole) for x in
+             ("button", "noscript", "video", "object", "canvas", "iframe", "audio", "title", "svg", "math", "template")]
+    made += [("<body>" + body.format("<button>Press"), whole), ("<p>See <video src=x> this</p>", "See this")]
+    made += [("<body>" + body.format(f"<{x}>"), "Title\nFirst.") for x in ("script", "style", "textarea")]
+    made += [("<p>a</p>" + "<button>" * 20_000 + "<p>b</p>", "a\nb")]
+    rows = [(i, f"http://h{i}.example.org/", h, "x", "y") for i, (h, _) in enumerate(made)]
+    out = op.extract_pages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.page_id: r.text for r in out} == {i: want for i, (_, want) in enumerate(made)}
+
+
 def test_shuffled_wrappers_give_the_same(spark, monkeypatch):
     rows, want = pages()
     monkeypatch.setattr(op, "BROADCAST_BYTES", -1)

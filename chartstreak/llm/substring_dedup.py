@@ -1,8 +1,15 @@
 """Substring dedup by sliding sentence spans.
 
 A text is divided into sentences (after ``.``, ``!`` or ``?`` with white space,
-and at line ends); a sentence of more than ``LONGEST`` words is divided every
-``PART`` words, so that long sentences cannot hide a passage. Every run of
+and at line ends). A sentence is divided where the words say so: after a word
+whose pair with the next one has the smallest hash among the ``NEAR`` pairs on
+each side, all in the sentence. Where a cut stands depends on the words around
+it alone, so two copies of a passage are cut alike but for their ends, wherever
+in a sentence they begin. What is still longer than ``LONGEST`` words (words that
+repeat with a short period, mostly) is divided every ``PART`` words from the last
+cut. A unit at the end of a passage that also holds other words does not match;
+matches are not extended word by word, so such words stay, and so does a passage
+of which fewer than ``span`` whole units or ``least_words`` words match. Every run of
 ``span`` consecutive sentences is hashed (words only, so white space does not
 matter). Spark finds the runs that occur more than once: a partially aggregated
 first occurrence per hash, and a join back that marks every other occurrence.
@@ -37,32 +44,64 @@ from pyspark.sql import functions as F
 from chartstreak.llm.common import fresh, quoted, table, text_of
 from chartstreak.session import materialise, workers_import_package
 
-LONGEST, PART = 16, 12
+NEAR, LONGEST, PART = 4, 16, 12
 SENTENCE_END = re.compile(r"[.!?]+\s+|\s*\n\s*")
 WORD = re.compile(r"\S+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def sentences(text: str) -> Iterator[tuple[int, list]]:
-    """(start, words) of each sentence or part of a long one; a sentence reaches to the next start."""
-    begin = 0
+def _pieces(text: str) -> tuple[list, list, list]:
+    """All words, (begin, end, first word) of each sentence with words, and the first words of the units."""
+    begin, words, spots = 0, [], []
     ends = [m.end() for m in SENTENCE_END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     for end in ends:
-        words = text[begin:end].split()
-        if len(words) > LONGEST:
-            starts = [m.start() for m in WORD.finditer(text, begin, end)]
-            for i in range(0, len(words), PART):
-                yield (starts[i] if i else begin), words[i:i + PART]
-        elif words:
-            yield begin, words
+        here = text[begin:end].split()
+        if here:
+            spots.append((begin, end, len(words)))
+            words += here
         begin = end
+    firsts = [first for _, _, first in spots]
+    width = 2 * NEAR + 1
+    if len(words) > width:
+        one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        pair = (one[:-1] ^ (one[1:] >> np.uint64(7))) * MIX + one[1:]
+        pair = (pair ^ (pair >> np.uint64(32))) * MIX
+        # least[i] is the smallest of NEAR pairs from i on
+        least = pair[:len(pair) - NEAR + 1].copy()
+        for i in range(1, NEAR):
+            np.minimum(least, pair[i:len(pair) - NEAR + 1 + i], out=least)
+        n = len(pair) - 2 * NEAR
+        middle = pair[NEAR:NEAR + n]
+        ok = (middle < least[:n]) & (middle <= least[NEAR + 1:NEAR + 1 + n])
+        sentence = np.repeat(np.arange(len(firsts)), np.diff(firsts + [len(words)]))
+        ok &= sentence[:n] == sentence[width:width + n]
+        firsts = np.sort(np.concatenate([firsts, np.flatnonzero(ok) + NEAR + 1])).tolist()
+    out = []
+    for first, end in zip(firsts, firsts[1:] + [len(words)]):
+        out += range(first, end, PART) if end - first > LONGEST else [first]
+    return words, spots, out
+
+
+def sentences(text: str) -> Iterator[tuple[int, list]]:
+    """(start, words) of each sentence or part of one; it reaches to the next start."""
+    words, spots, firsts = _pieces(text)
+    ends, at = firsts[1:] + [len(words)], 0
+    for (begin, end, first), (_, _, after) in zip(spots, spots[1:] + [(0, 0, len(words))]):
+        starts = None
+        while at < len(firsts) and firsts[at] < after:
+            if firsts[at] > first and starts is None:
+                starts = [m.start() for m in WORD.finditer(text, begin, end)]
+            yield (starts[firsts[at] - first] if firsts[at] > first else begin), words[firsts[at]:ends[at]]
+            at += 1
 
 
 def span_hashes(text: str, span: int) -> np.ndarray:
     """A 64-bit hash of each run of ``span`` consecutive sentences."""
-    one = np.fromiter((xxhash.xxh3_64_intdigest(" ".join(w)) for _, w in sentences(text)), np.uint64)
+    words, _, firsts = _pieces(text)
+    units = (" ".join(words[a:b]) for a, b in zip(firsts, firsts[1:] + [len(words)]))
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, units), np.uint64, len(firsts))
     if len(one) < span:
         return np.empty(0, np.int64)
     out = np.zeros(len(one) - span + 1, np.uint64)

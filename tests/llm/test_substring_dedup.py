@@ -57,6 +57,27 @@ def test_columns_counts_and_repeated_rows(spark):
     assert len({r.text for r in got if r.doc_id == rows[3][0]}) == 1
 
 
+def test_passages_inside_a_sentence_fall_into_step(spark):
+    """All word windows that repeat, by brute force: but for the ends of a passage they are found wherever it begins."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    words = lambda n: [word() for _ in range(n)]
+    passage = words(120)
+    texts = [words(k) + passage + words(rng.randint(3, 30)) for k in (5, 8, 17, 18, 29, 40, 0)] + [words(90), words(400)]
+    rows = [(i, " ".join(t), 1, "x") for i, t in enumerate(texts)]
+    out = {r.doc_id: r for r in op.remove_repeats(spark.createDataFrame(rows, SCHEMA), counts=True).collect()}
+    seen, most = set(), op.NEAR + op.LONGEST
+    for i, t in enumerate(texts):
+        windows = [tuple(t[k:k + 32]) for k in range(len(t) - 31)]
+        again = {k + j for k, w in enumerate(windows) if w in seen for j in range(32)}
+        seen.update(windows)
+        assert len(again) - 2 * most <= out[i].removed_words <= len(again), i
+        kept = out[i].text.split()
+        assert kept[:min(again, default=0)] == t[:min(again, default=0)] and (again or out[i].text == rows[i][1])
+        assert [w for w in t if w not in passage] == [w for w in kept if w not in passage]
+    assert out[1].removed_words >= 80
+
+
 def test_empty_table(spark):
     assert op.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 

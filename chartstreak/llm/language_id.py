@@ -17,7 +17,8 @@ has a fixed size however large the corpus.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 equal texts get equal results; ties go to the language that sorts first; without
-any labelled row every text is ``und``. Rows with a null id are not learned
+any labelled row every text is ``und``, and ``keep_known_languages`` then keeps
+every text that has a letter. Rows with a null id are not learned
 from and not held out. An empty table gives an empty result. Other columns are
 not read.
 """
@@ -194,7 +195,17 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_known_languages(docs: DataFrame, model: Model, least_score: float = 0.05,
                          text_col: str = "text") -> DataFrame:
-    """The documents with a language; ``und`` and texts of hardly any known n-gram go."""
+    """The documents with a language; ``und`` and texts of hardly any known n-gram go.
+
+    A model that learned no language tells nothing about a text: all that have a letter stay.
+    """
+    if not model.languages:
+        workers_import_package(docs.sparkSession)
+
+        @F.pandas_udf("boolean")
+        def has_letter(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: any(map(str.isalpha, t or ""))).astype(bool)
+        return docs.where(has_letter(F.col(quoted(text_col)).cast("string")))
     predict = predictor(docs.sparkSession, model)
     found = predict(F.col(quoted(text_col)).cast("string"))
     return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least_score))

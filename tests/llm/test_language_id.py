@@ -55,3 +55,9 @@ def test_many_languages():
     rows = [(n, int(g)) for n in names for g in op.grams(texts[n]).view(np.int64)]
     model = op.build(names, rows)
     assert [model.predict(texts[n])[0] for n in names] == names
+
+
+def test_without_a_language_texts_with_a_letter_stay(spark):
+    texts = ["some words", "Ä", "123 !", "", None]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in op.keep_known_languages(df, op.learn(df)).collect()} == {0, 1}

@@ -15,13 +15,16 @@ over ``SALTS`` groups, each of which sees a stream once however many pages have
 it. Text statistics per slot (the same on all pages?, share of link text) are
 summed by Spark beside it.
 
-The wrapper decides which slots hold the article: those inside its ``article``
-or ``main`` container if it has one (else inside a container named like one,
-else those that vary between pages and are mostly not links), without
-navigation, headers, footers, asides, forms, notices, adverts and comments at
-any depth. A page is aligned with its host's wrapper, and the text of the
-article slots is returned. Scripts, styles, comments and the head never enter
-the stream.
+Names and statistics decide which slots hold the article, not the alignment:
+the slots inside an ``article`` or ``main`` container if the host has one (else
+inside a container named like one, else those that vary between pages and are
+mostly not links), without navigation, headers, footers, asides, forms, notices,
+adverts and comments at any depth. A page is aligned with its host's wrapper,
+but the text of its article slots is returned whether it aligned or not, so the
+wrapper does not change the rows. That is a swap of a name rule for the
+alignment, and an article whose names are not in the lists below, on a host
+where other slots have such names, is lost. Scripts, styles, comments and the
+head never enter the stream.
 
 Defined results: null html counts as empty and gives an empty text; a url that
 is null or has no host belongs to the host ''. Repeated rows are pages each.
@@ -379,7 +382,7 @@ def load(text: str) -> list:
 
 
 def extract(source: str, wrapper: list, held: set, stats: dict) -> str:
-    """The text of the page's tokens that align with the wrapper and lie in the slots ``held``.
+    """The text of the page's tokens that lie in the slots ``held``, in page order.
 
     A page with no text there (another template of its host) is judged by its own slots.
     """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from chartstreak.llm.byte_bpe import op8_byte_bpe
 from chartstreak.llm.chat_format import OP2_SQL, op2_chat_format
+from chartstreak.llm.conversation_repair import OP13_SQL, op13_conversation_repair
 from chartstreak.llm.embedding_dedup import OP1_SQL, op1_embedding_dedup
 from chartstreak.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from chartstreak.llm.html_extract import op6_html_extract
@@ -24,4 +25,5 @@ REGISTRY = {
     "op8_byte_bpe": (op8_byte_bpe, None),
     "op9_warc_index": (op9_warc_index, OP9_SQL),
     "op10_language_id": (op10_language_id, None),
+    "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }

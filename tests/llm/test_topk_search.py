@@ -81,5 +81,5 @@ def test_subtrees_are_left_out(spark):
     assert alive.mean() < 0.3
     start = np.full(len(q), tk.LOWEST), np.full(len(q), tk.HIGHEST)
     got, got_ids, _, _ = tree.search(q, ids[::100], 20, *start)
-    want = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :20]
+    want = np.lexsort((np.broadcast_to(ids, scores.shape), ~scores), axis=1)[:, :20]
     assert (got_ids == want).all() and (got == np.take_along_axis(scores, want, 1)).all()

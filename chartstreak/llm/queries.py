@@ -12,6 +12,7 @@ from chartstreak.llm.language_id import op10_language_id
 from chartstreak.llm.minhash_dedup import OP7_SQL, op7_minhash_dedup
 from chartstreak.llm.packing import op5_best_fit_packing
 from chartstreak.llm.substring_dedup import op4_substring_dedup
+from chartstreak.llm.token_alignment import op12_token_alignment
 from chartstreak.llm.topk_search import OP11_SQL, op11_topk_search
 from chartstreak.llm.warc import OP9_SQL, op9_warc_index
 
@@ -27,5 +28,6 @@ REGISTRY = {
     "op9_warc_index": (op9_warc_index, OP9_SQL),
     "op10_language_id": (op10_language_id, None),
     "op11_topk_search": (op11_topk_search, OP11_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
     "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
 }

@@ -48,10 +48,18 @@ class ForestParams:
 
 
 def _by_country(rows: DataFrame, by: str) -> DataFrame:
-    """Rows dealt by country and a salt that grows with the country's rows."""
+    """Rows dealt by country and a salt that grows with the country's rows.
+
+    The salt hangs on the row, the number of partitions is fixed and each is
+    sorted by all columns: files are the same in every run, and a task that runs
+    again after a lost executor deals its rows as before. So bags of a seeded
+    forest are the same too.
+    """
     counts = rows.groupBy(by).agg(F.ceil(F.count("*") / ROWS_PER_FILE).cast("int").alias("_files"))
-    salted = rows.join(counts, by).withColumn("_salt", (F.rand(7) * F.col("_files")).cast("int"))
-    return salted.repartition(by, "_salt").drop("_files", "_salt")
+    salt = F.pmod(F.xxhash64("spotifyId", "snapshotDate"), F.col("_files")).cast("int")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(counts, by).withColumn("_salt", salt).repartition(parts, by, "_salt").drop("_files", "_salt")
+    return dealt.sortWithinPartitions(by, *[c for c in rows.columns if c != by])
 
 
 def training_table(spark: SparkSession, labelled: DataFrame, path: str | None = None,

@@ -171,10 +171,10 @@ RESTATED_SQL = f"""
       from chart c join re_ranks r using (country, spotifyId, snapshotDate))"""
 
 
-def retract_sql(order: str, top_n: int, run: int) -> str:
+def retract_sql(order: str, top_n: int, run: int, rows: str = RESTATED_SQL) -> str:
     """CTEs ``hits``: the fold over ``restated`` one row at a time, as a recursion per key."""
     gap = f"list_min([j for j in range(1, {10 * run}) if not list_contains(days, d {{}} cast(j as integer))]) - 1"
-    return RESTATED_SQL + f""",
+    return rows + f""",
     re_rows as (select *, row_number() over (partition by country, spotifyId order by {order}, snapshotDate,
                   dailyRank, name) as i from restated),
     re_state as (
@@ -199,9 +199,9 @@ def retract_sql(order: str, top_n: int, run: int) -> str:
       from re_hit h join re_rows r using (country, spotifyId, i))"""
 
 
-def _retract(order: str, top_n: int, run: int) -> str:
+def _retract(order: str, top_n: int, run: int, rows: str = RESTATED_SQL, wide: bool = False) -> str:
     sql = with_chart(f"select {chart_cols_sql()}, consecutiveHitDaysCount, consecutiveHitDaysList, hit from hits",
-                     extra=retract_sql(order, top_n, run))
+                     wide=wide, extra=retract_sql(order, top_n, run, rows))
     return sql.replace("with ", "with recursive ", 1)
 
 
@@ -211,7 +211,36 @@ def q_hit_detect_retract(spark, sf_dir):
     return flat(streaks.detect_hits_ordered(restated_chart(spark, sf_dir), "seq"))
 
 
+@register("hit_detect_retract_spread", _retract("seq", TOP_N, RUN_DAYS))
+def q_hit_detect_retract_spread(spark, sf_dir):
+    """W1 + W3 + O3 for keys of many changes: the changes stay rows, spread by day."""
+    return flat(streaks.detect_hits_ordered(restated_chart(spark, sf_dir), "seq", most_changes=0))
+
+
 @register("hit_detect_auto", _retract("snapshotDate", TOP_N, 5))
 def q_hit_detect_auto(spark, sf_dir):
     """W1 + W3 chosen by the repeated-day check, in date order, runs of 5 days."""
     return flat(streaks.detect_hits(restated_chart(spark, sf_dir), TOP_N, 5, repeated_dates="auto"))
+
+
+# --- arrival order, each day once (W1) ------------------------------------------
+
+def arriving(chart):
+    """The chart with an arrival number ``seq`` that mixes its days; ties are taken by (day, rank, name)."""
+    day = F.datediff("snapshotDate", F.lit("2000-01-01"))
+    return chart.withColumn("seq", (day * 37 + F.col("dailyRank") * 11) % 101)
+
+
+ARRIVING_SQL = """
+    restated as (select *, ((snapshotDate - date '2000-01-01') * 37 + dailyRank * 11) % 101 as seq from chart)"""
+
+
+@register("hit_detect_arrival", _retract("seq", TOP_N, RUN_DAYS, ARRIVING_SQL))
+def q_hit_detect_arrival(spark, sf_dir):
+    """W1 for rows in arrival order: windows over completed stretches, no list per key."""
+    return flat(streaks.detect_hits(arriving(load_chart(spark, sf_dir)), order_col="seq"))
+
+
+@register("hit_detect_arrival_wide", _retract("seq", TOP_N, 2, ARRIVING_SQL, wide=True))
+def q_hit_detect_arrival_wide(spark, sf_dir):
+    return flat(streaks.detect_hits(arriving(load_chart(spark, sf_dir, wide=True)), TOP_N, 2, order_col="seq"))

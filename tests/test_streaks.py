@@ -53,6 +53,63 @@ def test_ordered_fold_formulation(spark, order, repeats):
         assert trig[k] == by_seq[seq]["date"]
 
 
+def assert_triggers(df, rows):
+    """Counts, lists and the emitted row itself."""
+    want = expected(rows)
+    assert len(want) > 20 and spark_result(df) == want
+    by_seq = {r["seq"]: r for r in rows}
+    trig = {int(r["spotifyId"]): r["snapshotDate"] for r in df.collect()}
+    assert trig == {k: by_seq[seq]["date"] for k, (seq, _, _) in detect(rows, 10, RUN).items()}
+
+
+@pytest.mark.parametrize("order,seed", [("date", 4), ("shuffled", 5), ("shuffled", 6)])
+def test_arrival_formulation(spark, order, seed):
+    rows = random_streaks(random.Random(seed), order=order)
+    df = streaks.detect_hits(to_chart(spark, rows), 10, RUN, order_col="seq")
+    assert_triggers(df, rows)
+    if order == "shuffled":   # the row that closes a gap can make a run longer than the rule
+        assert df.where(F.col("consecutiveHitDaysCount") > RUN).count() > 0
+
+
+def test_arrival_collects_only_behind_the_trigger(spark):
+    rows = random_streaks(random.Random(4), n_keys=5, order="shuffled")
+    plan = streaks.detect_hits_arrival(to_chart(spark, rows), "seq", 10, RUN)._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().splitlines()
+    filtered = next(i for i, line in enumerate(lines) if "trigger" in line and "Filter" in line)
+    assert all("collect_list" not in line for line in lines[filtered:])
+
+
+def test_repeated_first_day_and_equal_arrivals(spark):
+    """Equal order values are taken by day; a repeated top day counts once, from its first row."""
+    import datetime as dt
+    day = dt.date(2024, 1, 1)
+    rows = [{"key": 1, "date": day + dt.timedelta(days=d), "rank": 1, "seq": 7} for d in (2, 0, 1, 3)]
+    rows += [{"key": 1, "date": day, "rank": 2, "seq": 9}]
+    hit = streaks.detect_hits_arrival(to_chart(spark, rows), "seq", 10, RUN).first()
+    assert hit["snapshotDate"] == day + dt.timedelta(days=3) and hit["consecutiveHitDaysCount"] == 4
+
+
+@pytest.mark.parametrize("order,repeats", [("date", False), ("shuffled", False), ("shuffled", True)])
+def test_spread_changes_equal_the_fold(spark, order, repeats):
+    rows = random_streaks(random.Random(9), order=order, repeats=repeats)
+    assert_triggers(streaks.detect_hits_ordered(to_chart(spark, rows), "seq", 10, RUN, most_changes=0), rows)
+
+
+def test_one_key_with_many_changes_beside_small_keys(spark):
+    """A key that toggles its days again and again is spread; the other keys are folded."""
+    import datetime as dt
+    base, rows = dt.date(2024, 1, 1), []
+    for turn in range(400):      # days 0, 2, 4, ... come and go, never RUN in a row
+        for d in range(0, 20, 2):
+            rows.append({"key": 0, "date": base + dt.timedelta(days=d), "rank": 1 if turn % 2 == 0 else 50})
+    rows += [{"key": 0, "date": base + dt.timedelta(days=d), "rank": 1} for d in (4, 6, 5, 3, 9)]
+    rows += [{"key": 1, "date": base + dt.timedelta(days=d), "rank": 1} for d in (3, 1, 2, 0)]
+    for seq, r in enumerate(rows):
+        r["seq"] = seq
+    got = spark_result(streaks.detect_hits_ordered(to_chart(spark, rows), "seq", 10, RUN, most_changes=100))
+    assert got == expected(rows) and len(got) == 2
+
+
 def test_trigger_row_in_date_order(spark):
     rows = random_streaks(random.Random(3), order="date")
     df = streaks.detect_hits(to_chart(spark, rows), 10, RUN)

@@ -75,11 +75,23 @@ def _stamp_days_in_order(spark: SparkSession, path: str) -> None:
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType = CHART_SCHEMA,
-                max_files_per_trigger: int | None = 200) -> DataFrame:
-    """New JSON files in ``path`` as a streaming DataFrame, decoded strictly."""
+                max_files_per_trigger: int | None = 200, archive: str | None = None,
+                max_file_age: str | None = None) -> DataFrame:
+    """New JSON files in ``path`` as a streaming DataFrame, decoded strictly.
+
+    ``archive``: a folder (not below ``path``) to which files go once their batch
+    is committed, so that the folder that is listed stays small. ``max_file_age``
+    (such as "7 days"): how far a file may lie behind the newest one; files that
+    come with an older time are left unread, and the source need not remember
+    older ones.
+    """
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if max_file_age:
+        r = r.option("maxFileAge", max_file_age)
     return from_json_lines(r.text(path).select("value"), schema)
 
 
@@ -227,19 +239,26 @@ class HitStreaks(StatefulProcessor):
     it, any other row takes its day out. The first row whose run reaches
     ``run`` is emitted with that run's length and all top days; afterwards the
     key keeps only its reported flag and skips its rows unread.
+
+    With ``ttl_ms`` a key that got no rows for that long is forgotten, its days
+    and its mark alike: within it a hit is emitted once, behind it the key starts anew.
     """
 
-    def __init__(self, top_n: int = TOP_N, run: int = RUN_DAYS):
-        self.top_n, self.run = top_n, run
+    def __init__(self, top_n: int = TOP_N, run: int = RUN_DAYS, ttl_ms: int | None = None):
+        self.top_n, self.run, self.ttl_ms = top_n, run, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("runs", "firsts array<date>, lasts array<date>, reported boolean")
+        self.state = handle.getValueState("runs", "firsts array<date>, lasts array<date>, reported boolean",
+                                          self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def detect(self, frames: list) -> tuple | None:
+        """Take the rows in order; (frame, row, run length, top days) of the row that makes the key a hit."""
         firsts, lasts, reported = self.state.get() if self.state.exists() else ([], [], False)
         if reported:
-            return
-        runs, frames = Runs(firsts or [], lasts or []), list(rows)
+            if self.ttl_ms:      # the mark lives on while rows come
+                self.state.update(([], [], True))
+            return None
+        runs = Runs(firsts or [], lasts or [])
         order = sorted((day, rank, name, f, i) for f, frame in enumerate(frames) for i, (day, rank, name) in enumerate(
             zip(frame["snapshotDate"], frame["dailyRank"], frame["name"])))
         for day, rank, _, f, i in order:
@@ -248,14 +267,21 @@ class HitStreaks(StatefulProcessor):
                 continue
             length = runs.add(day)
             if length >= self.run:
-                hit = frames[f].iloc[[i]].copy()
-                hit["consecutiveHitDaysCount"] = length
-                hit["consecutiveHitDaysList"] = [[d.isoformat() for d in runs.days()]]
-                hit["hit"] = True
                 self.state.update(([], [], True))
-                yield hit[LABELLED_SCHEMA.fieldNames()]
-                return
+                return f, i, length, [d.isoformat() for d in runs.days()]
         self.state.update((runs.firsts, runs.lasts, False))
+        return None
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        found = self.detect(frames)
+        if found:
+            f, i, length, days = found
+            hit = frames[f].iloc[[i]].copy()
+            hit["consecutiveHitDaysCount"] = length
+            hit["consecutiveHitDaysList"] = [days]
+            hit["hit"] = True
+            yield hit[LABELLED_SCHEMA.fieldNames()]
 
     def close(self) -> None:
         pass
@@ -265,12 +291,12 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def hit_stream(stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS) -> DataFrame:
-    """Hits as a streaming DataFrame (append mode, no watermark)."""
+def hit_stream(stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS, ttl_ms: int | None = None) -> DataFrame:
+    """Hits as a streaming DataFrame (append mode, no watermark; ``ttl_ms``: forget keys without rows, T5)."""
     workers_import_package(stream.sparkSession)
     return stream.groupBy("country", "spotifyId").transformWithStateInPandas(
-        statefulProcessor=HitStreaks(top_n, run), outputStructType=LABELLED_SCHEMA,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=HitStreaks(top_n, run, ttl_ms), outputStructType=LABELLED_SCHEMA,
+        outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
 # --- T3: labelling against the hits known so far ----------------------------

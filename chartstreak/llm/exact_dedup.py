@@ -61,11 +61,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       keep: str = "largest") -> DataFrame:
     """The documents that ``exact_dedup`` keeps, with all their columns, repeated rows once."""
-    id_, sha = fresh(docs, "kept_id"), fresh(docs, "kept_sha256")
+    id_, sha, its = fresh(docs, "kept_id"), fresh(docs, "kept_sha256"), fresh(docs, "own_sha256")
     kept = (exact_dedup(docs, id_col, text_col, keep).where("kept")
-            .select(F.col(quoted(id_col)).alias(id_), F.col("text_sha256").alias(sha + "_")))
+            .select(F.col(quoted(id_col)).alias(id_), F.col("text_sha256").alias(its)))
     marked = docs.withColumn(sha, F.sha2(text_of(text_col), 256))
-    joined = marked.join(kept, F.col(quoted(id_col)).eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(sha + "_")))
+    joined = marked.join(kept, F.col(quoted(id_col)).eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(its)))
     return joined.dropDuplicates([id_, sha]).select(*[joined[quoted(c)] for c in docs.columns])
 
 

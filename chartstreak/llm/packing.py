@@ -11,8 +11,8 @@ capacity. ``pack`` gives every piece a sequence and an offset:
    removed. The same combination is removed as often as the counts allow, so
    the plan has a few rows per length instead of one per bin.
 3. Pieces are numbered within their length: windows over (length, salt) plus
-   the counts of earlier salts, so a length that a third of all rows share is
-   spread over ``salts`` windows. A broadcast join with the plan (bounded by
+   the counts of earlier salts; a length has a salt per ``rows_per_salt`` pieces, so
+   one that a third of all rows share is spread over as many windows as it needs. A broadcast join with the plan (bounded by
    the capacity, not by the corpus) turns the number into sequence and offset.
 
 Defined results: null text counts as empty; an empty text is one piece holding
@@ -22,88 +22,120 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
 import zlib
+from array import array
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartstreak.llm.common import Generations, quoted, table, text_of
+from chartstreak.llm.common import quoted, table, text_of
 from chartstreak.session import materialise, workers_import_package
 
 CAPACITY = 4096
 END_ID = 1
-WORDS_KEPT = 150_000
+PARTS_KEPT = 200_000
+ROWS_PER_SALT = 100_000
 LONGEST_KEPT = 64
 
 _encoders: dict = {}
+little_ids = sys.byteorder == "little" and array("I").itemsize == 4
 
 
-# The tokenizer's word pattern and byte alphabet, for words within Latin-1 (lower case, no white space).
-L1_WORD = re.compile("[!-~\xa1-\xff]+")
+# The steps before the merges that the fast way restates; other files are encoded by their tokenizer whole.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+# The same for texts of printed Latin-1 characters, blanks and line ends.
+BEYOND_L1 = re.compile("[^ \n!-~\xa1-\xff]")
 L1_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-                      "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+                      "|[^ \na-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: chr(b) for b in PRINTED} | {b: chr(256 + n) for n, b in enumerate(
     b for b in range(256) if b not in PRINTED)}
 
 
 def _bytes(ids) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return array("I", ids).tobytes() if little_ids else b"".join(i.to_bytes(4, "little") for i in ids)
+
+
+class Memo(dict):
+    """Ids by part, made when missed; a full young generation becomes the old one, from which hits are renewed."""
+
+    def __init__(self, most: int, make):
+        super().__init__()
+        self.most, self.make, self.old = most, make, {}
+
+    @property
+    def young(self) -> dict:
+        return self
+
+    def __missing__(self, unit: str) -> bytes:
+        code = self.old.get(unit)
+        if code is None:
+            code = self.make(unit)
+        if len(unit) <= LONGEST_KEPT:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[unit] = code
+        return code
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes, words encoded once per worker.
+    """Ids of a text as little-endian unsigned 32-bit bytes, parts of words encoded once per worker.
 
     The tokenizer drops white space and no match or normal form reaches across
-    a blank, so a text's ids are those of its blank-separated words in order.
-    A new word within Latin-1 is lowered and split as the tokenizer does, and
-    only its new parts go to the tokenizer's model; any other new word goes
-    through the whole tokenizer. Two generations of at most ``WORDS_KEPT``
-    words and parts are remembered, so memory is bounded and frequent words stay.
+    a blank, so a text's ids are those of the parts that its pattern finds, in order. A
+    text of printed Latin-1 characters is lowered and split as the tokenizer does,
+    and only parts not yet known go to the tokenizer's model; of any other text the
+    blank-separated words with other characters go through the whole tokenizer. A file
+    whose normalizer or pre-tokenizer is not the one restated here is used whole.
+    Two generations of at most ``PARTS_KEPT`` parts and words are remembered, so
+    memory is bounded and frequent ones stay.
     """
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        steps = json.loads(self.tokenizer.to_str())
+        self.known_steps = steps["normalizer"] == NORMALIZER and steps["pre_tokenizer"] == PRE_TOKENIZER
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words, self.parts = Generations(WORDS_KEPT), Generations(WORDS_KEPT)
+        self.parts, self.words = Memo(PARTS_KEPT, self._part), Memo(PARTS_KEPT, self._word)
+
+    def _whole(self, text: str) -> bytes:
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str) -> bytes:
-        code = self.parts.get(part)
-        if code is None:
-            spelt = part if part.isascii() else "".join(map(BYTE_CHARS.__getitem__, part.encode()))
-            code = _bytes([t.id for t in self.tokenizer.model.tokenize(spelt)])
-            if len(part) <= LONGEST_KEPT:
-                self.parts.keep(part, code)
-        return code
+        spelt = part if part.isascii() else "".join(map(BYTE_CHARS.__getitem__, part.encode()))
+        return _bytes([t.id for t in self.tokenizer.model.tokenize(spelt)])
+
+    def _plain(self, text: str) -> bool:
+        return not BEYOND_L1.search(text) and not any(s in text for s in self.special)
+
+    def _latin1(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, L1_TOKEN.findall(text.lower())))
 
-    def _new_word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if L1_WORD.fullmatch(word) and not any(s in word for s in self.special):
-            return b"".join(map(self._part, L1_TOKEN.findall(word.lower())))
-        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+    def _word(self, word: str) -> bytes:
+        return self._latin1(word) if self._plain(word) else self._whole(word)
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        codes = list(map(self.words.young.get, words))
-        if None in codes:
-            found: dict = {}
-            for n, (word, code) in enumerate(zip(words, codes)):
-                if code is None:
-                    code = found.get(word)
-                    if code is None:
-                        code = self.words.get(word)
-                        found[word] = code = self._new_word(word) if code is None else code
-                    codes[n] = code
-            for word, code in found.items():
-                if len(word) <= LONGEST_KEPT:
-                    self.words.keep(word, code)
-        return b"".join(codes)
+        if not self.known_steps:
+            return self._whole(text)
+        if self._plain(text):
+            return self._latin1(text)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _encoder(vocabulary: str) -> WordEncoder:
@@ -187,12 +219,16 @@ def fill_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple
     return rows
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = 64) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """``pieces`` (columns doc_id, piece, length and any others) with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
-    pieces = materialise(pieces, "pieces").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    pieces = materialise(pieces, "pieces")
+    histogram = {r[0]: r[1] for r in pieces.groupBy("length").agg(F.count("*")).collect()}
+    # a salt per ``rows_per_salt`` pieces of a length; one row per length
+    salts = spark.createDataFrame([(x, -(-n // rows_per_salt)) for x, n in histogram.items()], "length long, salts long")
+    pieces = pieces.join(F.broadcast(salts), "length").select(
+        *pieces.columns, F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts")).alias("salt"))
     counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
     plan = spark.createDataFrame(fill_plan(histogram, capacity),
                                  "length long, low long, high long, uses long, bin long, place long")
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,6 +20,9 @@ The first occurrence is the one with the smallest (id, text hash, position), so
 of any removed sentence an earlier copy stays. What stays of a text is
 unchanged, white space included; a text without repeats is returned as it is.
 
+A text is told from another by its id and the 128 bits of its digest, a run by 128 bits
+of its words: at 10^12 runs a false match has odds of one in 10^14.
+
 Only hashes and positions are shuffled by hash. Positions of one text are
 gathered per text, so a group is never larger than one text. Texts are shuffled
 once, to meet their covered positions.
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartstreak.llm.common import fresh, quoted, table, text_of
@@ -47,7 +50,7 @@ from chartstreak.session import materialise, workers_import_package
 NEAR, LONGEST, PART = 4, 16, 12
 SENTENCE_END = re.compile(r"[.!?]+\s+|\s*\n\s*")
 WORD = re.compile(r"\S+")
-MIX = np.uint64(0x9E3779B97F4A7C15)
+MIX, OTHER_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _pieces(text: str) -> tuple[list, list, list]:
@@ -98,15 +101,15 @@ def sentences(text: str) -> Iterator[tuple[int, list]]:
 
 
 def span_hashes(text: str, span: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``span`` consecutive sentences."""
+    """128 bits (two columns) of each run of ``span`` consecutive sentences."""
     words, _, firsts = _pieces(text)
-    units = (" ".join(words[a:b]) for a, b in zip(firsts, firsts[1:] + [len(words)]))
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, units), np.uint64, len(firsts))
-    if len(one) < span:
-        return np.empty(0, np.int64)
-    out = np.zeros(len(one) - span + 1, np.uint64)
+    units = (" ".join(words[a:b]).encode() for a, b in zip(firsts, firsts[1:] + [len(words)]))
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, units)), ">u8").astype(np.uint64).reshape(-1, 2)
+    if len(both) < span:
+        return np.empty((0, 2), np.int64)
+    out = np.zeros((len(both) - span + 1, 2), np.uint64)
     for i in range(span):
-        out = (out ^ one[i:len(one) - span + 1 + i]) * MIX
+        out = (out ^ both[i:len(both) - span + 1 + i]) * np.array([MIX, OTHER_MIX])
         out ^= out >> np.uint64(31)
     return out.view(np.int64)
 
@@ -136,29 +139,44 @@ def without(text: str, runs, span: int, least_words: int) -> tuple[str, int, int
 def _hashes(span: int):
     def hashes(batches):
         for frame in batches:
+            found = [span_hashes(t, span) for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "code": frame["code"],
-                                "spans": [span_hashes(t, span) for t in frame["text"]]})
+                                "spans": [np.ascontiguousarray(x[:, 0]) for x in found],
+                                "more": [np.ascontiguousarray(x[:, 1]) for x in found]})
     return hashes
 
 
+def _code(text: Column) -> Column:
+    """128 bits of a text's digest."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def repeated_runs(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
     """(doc_id, code, runs): positions of the runs that are not the first of their kind, per text."""
     workers_import_package(docs.sparkSession)
     text = text_of(text_col)
-    src = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.hash(text).alias("code"), text.alias("text"))
-    spans = materialise(src.mapInPandas(_hashes(span), "doc_id long, code int, spans array<long>"), "spans")
-    rows = spans.select(F.posexplode("spans").alias("pos", "span"), F.struct("doc_id", "code").alias("doc"))
+    src = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), _code(text).alias("code"),
+                      text.alias("text"))
+    spans = materialise(src.mapInPandas(_hashes(span), "doc_id long, code binary, spans array<long>, more array<long>"),
+                        "spans")
+    rows = spans.select(F.posexplode(F.arrays_zip("spans", "more")).alias("pos", "both"),
+                        F.struct("doc_id", "code").alias("doc"))
+    rows = rows.select("pos", "doc", F.col("both.spans").alias("span"), F.col("both.more").alias("more"))
     place = F.struct("doc.doc_id", "doc.code", "pos")
-    first = rows.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    first = rows.groupBy("span", "more").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
     # written first, so that the join stands between plain exchanges and Spark can split a frequent span
-    first = materialise(first.select("span", "first"), "repeated-spans").hint("merge")
-    later = rows.join(first, "span").where(place != F.col("first"))
+    first = materialise(first.select("span", "more", "first"), "repeated-spans").hint("merge")
+    later = rows.join(first, ["span", "more"]).where(place != F.col("first"))
     return later.groupBy("doc.doc_id", "doc.code").agg(F.collect_set("pos").alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
                    least_words: int = 32, counts: bool = False) -> DataFrame:
-    """``docs`` with repeated passages removed from the text; with ``counts`` also what was removed."""
+    """``docs`` with repeated passages removed from the text.
+
+    ``counts`` adds what was removed (``removed_sentences``, ``removed_words``, with an underscore
+    behind where ``docs`` has the name). ``least_words=1`` removes every covered stretch.
+    """
     runs = repeated_runs(docs, id_col, text_col, span)
     id_, code, at = fresh(docs, "run_doc"), fresh(docs, "run_code"), fresh(docs, "runs")
     runs = runs.select(F.col("doc_id").alias(id_), F.col("code").alias(code), F.col("runs").alias(at))
@@ -170,13 +188,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                 for t, p in zip(texts, places)],
                                columns=["text", "removed_sentences", "removed_words"])
     joined = docs.join(runs, F.col(quoted(id_col)).cast("long").eqNullSafe(F.col(id_))
-                       & (F.hash(text_of(text_col)) == F.col(code)), "left")
+                       & (_code(text_of(text_col)) == F.col(code)), "left")
     new = fresh(docs, "cut_text")
     joined = joined.withColumn(new, cut(text_of(text_col), F.col(at)))
-    columns = [F.col(f"{new}.text").alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns]
+    columns = [F.col(f"{new}.text").alias(c) if c.lower() == text_col.lower() else F.col(quoted(c)) for c in docs.columns]
     if counts:
-        columns += [F.col(f"{new}.removed_sentences").alias("removed_sentences"),
-                    F.col(f"{new}.removed_words").alias("removed_words")]
+        columns += [F.col(f"{new}.{c}").alias(fresh(docs, c)) for c in ("removed_sentences", "removed_words")]
     return joined.select(*columns)
 
 

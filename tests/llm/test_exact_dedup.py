@@ -51,3 +51,12 @@ def test_columns_pass_through(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert op.exact_dedup(df).collect() == [] and op.drop_exact_copies(df).collect() == []
+
+
+def test_columns_that_look_like_its_own(spark):
+    from chartstreak.llm.exact_dedup import drop_exact_copies
+    schema = "doc_id long, text string, kept_sha256 string, kept_sha256_ string, own_sha256 int, kept_id long"
+    rows = [(1, "a", "x", "y", 1, 1), (2, "a", "x", "y", 1, 1), (3, None, None, None, None, None)]
+    out = drop_exact_copies(spark.createDataFrame(rows, schema))
+    assert out.columns == [f.split()[0] for f in schema.split(", ")]
+    assert sorted(tuple(r) for r in out.collect()) == [rows[1], rows[2]]

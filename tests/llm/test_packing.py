@@ -35,8 +35,37 @@ def test_encoder_equals_the_tokenizer(encoder, parts):
 def test_memo_is_bounded(encoder, monkeypatch):
     monkeypatch.setattr(encoder.words, "most", 50)
     for i in range(500):
-        assert encoder.encode(f"word{i} the") == ids_of(f"word{i} the")
+        assert encoder.encode(f"日{i} the") == ids_of(f"日{i} the")
     assert len(encoder.words.young) <= 50 and len(encoder.words.old) <= 50
+    monkeypatch.setattr(encoder.parts, "most", 50)
+    encoder.parts.clear()
+    for i in range(500):
+        assert encoder.encode(f"{chr(97 + i % 26) * (1 + i // 26)} the") == ids_of(
+            f"{chr(97 + i % 26) * (1 + i // 26)} the")
+    assert len(encoder.parts) <= 50 and len(encoder.parts.old) <= 50
+
+
+def test_another_vocabulary_is_used_whole():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, whole = op.WordEncoder(path), Tokenizer.from_file(path)
+    assert not other.known_steps
+    for text in ("Hello  World.\n I'm 42", "naïve 日本"):
+        assert other.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_a_length_of_many_pieces_is_numbered_in_many_windows(spark):
+    pieces = spark.range(3000).selectExpr("id as doc_id", "0 as piece", "cast(if(id % 3 = 0, 7, id % 5 + 1) as long) as length")
+    rows = op.pack(pieces, capacity=20, rows_per_salt=50).collect()
+    assert len({(r.doc_id, r.piece) for r in rows}) == len(rows) == 3000
+    bins: dict = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 20
 
 
 @settings(max_examples=80, deadline=None)

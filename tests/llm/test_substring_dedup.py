@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import defaultdict
 
@@ -89,3 +90,34 @@ def test_sentences_cover_the_text(text):
     assert [w for _, words in units for w in words] == text.split()
     assert [s for s, _ in units] == sorted({s for s, _ in units})
     assert op.without(text, [], 3, 1) == (text, 0, 0)
+
+
+def test_texts_of_equal_32_bit_hash_keep_their_own_cuts(spark):
+    """Two rows without an id, one with a repeated passage and one all its own, whose 32-bit hashes are equal."""
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage, own = " ".join(word() for _ in range(120)), " ".join(word() for _ in range(120))
+    ids = spark.range(400_000)
+    a = ids.select(F.concat(F.lit(passage + " "), F.col("id").cast("string")).alias("a")).withColumn("h", F.hash("a"))
+    b = ids.select(F.concat(F.lit(own + " "), F.col("id").cast("string")).alias("b")).withColumn("h", F.hash("b"))
+    digest = lambda t: hashlib.sha256(t.encode()).digest()  # noqa: E731  rows without an id come by it
+    pair = next(p for p in a.join(b, "h").collect() if digest(p.a) > digest(passage))
+    rows = [(None, passage, 1, "x"), (None, pair.a, 1, "x"), (None, pair.b, 1, "x")]
+    out = [r.text for r in op.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert pair.b in out and pair.a not in out
+
+
+def test_clashing_names_and_names_in_capitals(spark):
+    rows, _ = corpus()
+    named = "doc_id long, Text string, removed_sentences int, run_code string"
+    df = spark.createDataFrame(rows, named)
+    out = op.remove_repeats(df, counts=True)
+    assert out.columns == df.columns + ["removed_sentences_", "removed_words"]
+    assert {r.doc_id: r.Text for r in out.collect()} == brute(rows)
+
+
+def test_shortest_stretches_go_too(spark):
+    rows, _ = corpus(5)
+    out = {r.doc_id: r.text for r in op.remove_repeats(spark.createDataFrame(rows, SCHEMA), least_words=1).collect()}
+    assert out == brute(rows, least=1) != brute(rows)

@@ -81,7 +81,7 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType = CHART_SCH
 
     ``archive``: a folder (not below ``path``) to which files go once their batch
     is committed, so that the folder that is listed stays small. ``max_file_age``
-    (such as "7 days"): how far a file may lie behind the newest one; files that
+    (such as "7d"): how far a file may lie behind the newest one; files that
     come with an older time are left unread, and the source need not remember
     older ones.
     """

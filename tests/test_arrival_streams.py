@@ -267,7 +267,7 @@ def test_archived_files_are_neither_lost_nor_read_twice(spark, chart):
     src, done, root = (shared_path(spark, n) for n in ("archive-in", "archive-done", "archive-run"))
 
     def drain():
-        stream = st.file_stream(spark, src, max_files_per_trigger=1, archive=done, max_file_age="7 days")
+        stream = st.file_stream(spark, src, max_files_per_trigger=1, archive=done, max_file_age="7d")
         st.drain(st._start(stream.writeStream.format("parquet").option("path", f"{root}/out").option(
             "checkpointLocation", f"{root}/checkpoint").outputMode("append"), True))
 

@@ -22,7 +22,55 @@ def _r4(x):
     return f"floor({x} * 10000.0 + 0.5) / 10000.0"
 
 
-def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS, lab: str = LAB) -> str:
+def spread_sql(k: int, rounds: int = kmeans.ROUNDS, seed: int = kmeans.SEED) -> list[str]:
+    """CTEs up to ``km_c0``: k-means|| starts by the same hash draws."""
+    fl = ", ".join(f"f{i}" for i in range(NF))
+    vl = ", ".join(f"v.f{i}" for i in range(NF))
+    dist = " + ".join(f"(v.f{i} - c.f{i}) * (v.f{i} - c.f{i})" for i in range(NF))
+
+    def draw(step):
+        return f"cast(cast('0x' || substr(sha256('{seed}|{step}|' || name), 1, 13) as bigint) as double) / {16 ** 13}.0"
+
+    def near(source, chosen, extra):
+        return (f"select v.country, v.name, {vl}, {extra}, min(round({dist}, 9)) as d, "
+                f"first(c.name order by round({dist}, 9), c.name) as nearest "
+                f"from {source} v join {chosen} c using (country) group by all")
+    ctes = [f"sp_v as (select country, min(spotifyId || '|' || cast(snapshotDate as varchar)) as name, count(*) as n, {fl} "
+            f"from km_pts group by country, {fl})",
+            f"sp_s0 as (select country, name, {fl} from (select *, row_number() over (partition by country order by "
+            f"{draw(0)}, name) as r from sp_v) where r = 1)"]
+    for t in range(1, rounds + 1):
+        ctes += [f"sp_d{t} as ({near('sp_v', f'sp_s{t - 1}', 'v.n')})",
+                 f"sp_s{t} as (select * from sp_s{t - 1} union all select country, name, {fl} from (select *, sum(n * d) "
+                 f"over (partition by country) as cost from sp_d{t}) where {draw(t)} * cost < {2 * k} * n * d)"]
+    ctes += [f"sp_w as (select country, nearest as name, sum(n) as w from ({near('sp_v', f'sp_s{rounds}', 'v.n')}) "
+             "group by country, nearest)",
+             f"sp_few as (select country from sp_s{rounds} group by country having count(*) < {k})",
+             f"sp_pool as (select s.country, s.name, w, {fl} from sp_s{rounds} s join sp_w using (country, name) "
+             f"where s.country not in (select country from sp_few) union all select country, name, n, {fl} from sp_v "
+             "where country in (select country from sp_few))",
+             f"sp_p1 as (select country, 1 as cluster, name, {fl} from (select *, row_number() over (partition by country "
+             "order by w desc, name) as r from sp_pool) where r = 1)"]
+    for j in range(2, k + 1):
+        ctes.append(f"sp_p{j} as (select * from sp_p{j - 1} union all select country, {j}, name, {fl} from (select *, "
+                    "row_number() over (partition by country order by round(w * d, 6) desc, name) as r from "
+                    f"({near('sp_pool', f'sp_p{j - 1}', 'v.w')}) where d > 0) where r = 1)")
+    last = f"sp_p{k}"
+    for t in range(1, kmeans.RECLUSTER_ROUNDS + 1):
+        ctes += [f"sp_a{t} as (select v.country, v.name, first(c.cluster order by round({dist}, 9), c.cluster) as cluster "
+                 f"from sp_pool v join {last} c using (country) group by v.country, v.name)",
+                 f"sp_m{t} as (select country, cluster, "
+                 + ", ".join(f"sum(w * f{i}) / sum(w) as f{i}" for i in range(NF))
+                 + f" from sp_a{t} join sp_pool using (country, name) group by country, cluster)",
+                 f"sp_l{t} as (select o.country, o.cluster, "
+                 + ", ".join(f"coalesce(m.f{i}, o.f{i}) as f{i}" for i in range(NF))
+                 + f" from {last} o left join sp_m{t} m using (country, cluster))"]
+        last = f"sp_l{t}"
+    return [*ctes, f"km_c0 as (select country, cluster, {fl} from {last} where country in "
+                   f"(select country from km_distinct where dh >= {k}))"]
+
+
+def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS, lab: str = LAB, spread: bool = False) -> str:
     """CTEs ``km_c{iterations}`` (centroids) and ``km_status``, unrolled Lloyd loop."""
     fcols = ", ".join(f"{fsql(n)} as f{i}" for i, n in enumerate(FEATURE_NAMES))
     fl = ", ".join(f"f{i}" for i in range(NF))
@@ -34,6 +82,8 @@ def kmeans_sql(k: int = N_CLUSTERS, iterations: int = ITERATIONS, lab: str = LAB
         f"partition by country order by spotifyId, {fl}) as cluster from km_songs) "
         f"where cluster <= {k} and country in (select country from km_distinct where dh >= {k}))",
     ]
+    if spread:
+        ctes[-1:] = spread_sql(k)
     dist = " + ".join(f"(p.f{i} - c.f{i}) * (p.f{i} - c.f{i})" for i in range(NF))
     for it in range(1, iterations + 1):
         prev = f"km_c{it - 1}"
@@ -86,6 +136,22 @@ def q_grouped_kmeans_wide(spark, sf_dir):
     return _centroids(kmeans.grouped_kmeans(labelled(spark, sf_dir, **WIDE))[0])
 
 
+SPREAD_ITERATIONS = 40
+KM_SPREAD = kmeans_sql(iterations=SPREAD_ITERATIONS, lab=labelled_sql(10, 2), spread=True)
+# four decimals, cut where means of four-decimal values do not end, so that the order of a sum moves none
+CUT = 0.4567
+
+
+@register("grouped_kmeans_spread_wide", with_chart("select country, cluster, " + ", ".join(
+    f"floor(f{i} * 10000.0 + {CUT}) / 10000.0 as {n}" for i, n in enumerate(FEATURE_NAMES))
+    + f" from km_c{SPREAD_ITERATIONS}", wide=True, extra=KM_SPREAD))
+def q_grouped_kmeans_spread_wide(spark, sf_dir):
+    """L1 with starts that lie apart, drawn for all countries in one job a round."""
+    cents = kmeans.grouped_kmeans(labelled(spark, sf_dir, **WIDE), start="spread")[0]
+    return cents.select("country", "cluster", *[
+        (F.floor(F.col("f")[i] * 10000.0 + CUT) / 10000.0).alias(n) for i, n in enumerate(FEATURE_NAMES)])
+
+
 def _fc(n):
     return f"f{FEATURE_NAMES.index(n)}"
 

@@ -114,3 +114,32 @@ def test_equal_vectors_are_no_start_points(spark):
     spec = [("X", f"s{i}", 1, True, 0.3) for i in range(9)]
     _, status = kmeans.grouped_kmeans(_rows(spark, spec), k=4)
     assert status.first()["kmeansStatus"] == kmeans.FAILED
+
+
+def test_spread_starts_cost_less_than_the_first(spark):
+    """Wide chart: k vectors that lie apart cost no more than the first k, before and after the iterations."""
+    wide = labelled(spark, SF01, wide=True, top_n=10, run=2).checkpoint(eager=True)
+    points = kmeans.kmeans_points(wide).checkpoint(eager=True)
+
+    def costs(centroids):
+        return {r["country"]: r["cost"] for r in kmeans.total_cost(points, centroids).collect()}
+    first, spread = costs(kmeans.initial_centroids(points, 4)), costs(kmeans.spread_centroids(points, 4))
+    assert set(first) == set(spread) and first
+    assert all(spread[c] <= first[c] for c in first)
+    again = kmeans.spread_centroids(points.repartition(7), 4)
+    assert {c: round(x, 6) for c, x in costs(again).items()} == {c: round(x, 6) for c, x in spread.items()}
+    done = [sum(costs(kmeans.grouped_kmeans(wide, start=s)[0]).values()) for s in ("spread", "first")]
+    assert done[0] <= done[1]
+
+
+def test_spread_starts_of_few_vectors(spark):
+    """Fewer candidates than k are filled from all vectors; fewer vectors than k fail as before."""
+    spec = [("Y", f"s{i}", 1, True, 0.1 * i) for i in range(4)] + [("X", f"s{i}", 1, True, 0.1 * i) for i in range(3)]
+    spec += [("H", f"s{i % 5}", 1 + i % 28, True, 0.1 * (i % 5)) for i in range(400)] + [("Z", "s", 1, False, 0.1)]
+    cents, status = kmeans.grouped_kmeans(_rows(spark, spec), k=4, start="spread")
+    assert {r["country"]: r["kmeansStatus"] for r in status.collect()} == {
+        "X": kmeans.FAILED, "Y": kmeans.OK, "H": kmeans.OK, "Z": kmeans.NO_HITS}
+    found = {}
+    for r in cents.collect():
+        found.setdefault(r["country"], []).append(r["cluster"])
+    assert {c: sorted(n) for c, n in found.items()} == {"Y": [1, 2, 3, 4], "H": [1, 2, 3, 4]}

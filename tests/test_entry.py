@@ -48,3 +48,44 @@ def test_query_matches_oracle(spark, name):
     idx = [ocols.index(c) for c in sorted(cols)]
     o = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert s == o
+
+
+def _registered(tmp_path, prepare):
+    """Number of queries that a copy of the repository registers, and what it says."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "tests"))
+    prepare(copy)
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=copy,
+                          capture_output=True, text=True, timeout=120)
+    return done
+
+
+def test_other_queries_stay_without_the_operators_or_their_libraries(tmp_path):
+    import shutil
+
+    def without(copy):
+        shutil.rmtree(copy / "chartstreak" / "llm", ignore_errors=True)
+        (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    alone = _registered(tmp_path / "a", without)
+    assert int(alone.stdout) >= 61
+    assert not (tmp_path / "a" / "copy" / "chartstreak" / "llm").exists()
+
+    def library(copy):
+        package = copy / "chartstreak" / "llm"
+        package.mkdir(exist_ok=True)
+        (package / "__init__.py").write_text("")
+        (package / "queries.py").write_text("import a_library_that_is_not_there\n")
+    missing = _registered(tmp_path / "b", library)
+    assert missing.stdout == alone.stdout and "a_library_that_is_not_there" in missing.stderr
+
+    def mistyped(copy):
+        package = copy / "chartstreak" / "llm"
+        package.mkdir(exist_ok=True)
+        (package / "__init__.py").write_text("")
+        (package / "queries.py").write_text("import chartstreak.llm.mistyped\n")
+    assert _registered(tmp_path / "c", mistyped).returncode != 0

@@ -16,7 +16,7 @@ first occurrence per hash, and a join back that marks every other occurrence.
 Sentences covered by a run that is not the first go, if the covered stretch has
 at least ``least_words`` words; shorter stretches (a common line) stay.
 
-The first occurrence is the one with the smallest (id, text hash, position), so
+The first occurrence is the one with the smallest (id, row number, position), so
 of any removed sentence an earlier copy stays. What stays of a text is
 unchanged, white space included; a text without repeats is returned as it is.
 
@@ -141,6 +141,7 @@ def _hashes(span: int):
         for frame in batches:
             found = [span_hashes(t, span) for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "code": frame["code"],
+                                "number": frame["number"],
                                 "spans": [np.ascontiguousarray(x[:, 0]) for x in found],
                                 "more": [np.ascontiguousarray(x[:, 1]) for x in found]})
     return hashes
@@ -156,18 +157,20 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, span: int) -> Dat
     workers_import_package(docs.sparkSession)
     text = text_of(text_col)
     src = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), _code(text).alias("code"),
-                      text.alias("text"))
-    spans = materialise(src.mapInPandas(_hashes(span), "doc_id long, code binary, spans array<long>, more array<long>"),
-                        "spans")
-    rows = spans.select(F.posexplode(F.arrays_zip("spans", "more")).alias("pos", "both"),
-                        F.struct("doc_id", "code").alias("doc"))
-    rows = rows.select("pos", "doc", F.col("both.spans").alias("span"), F.col("both.more").alias("more"))
-    place = F.struct("doc.doc_id", "doc.code", "pos")
+                      F.monotonically_increasing_id().alias("number"), text.alias("text"))
+    spans = materialise(src.mapInPandas(
+        _hashes(span), "doc_id long, code binary, number long, spans array<long>, more array<long>"), "spans")
+    # a row stands by its written number; rows of one id and text by the smallest of theirs
+    heads = spans.groupBy("doc_id", "code").agg(F.min("number").alias("number"))
+    rows = spans.select("doc_id", "number", F.posexplode(F.arrays_zip("spans", "more")).alias("pos", "both"))
+    rows = rows.select("doc_id", "number", "pos", F.col("both.spans").alias("span"), F.col("both.more").alias("more"))
+    place = F.struct("doc_id", "number", "pos")
     first = rows.groupBy("span", "more").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
     # written first, so that the join stands between plain exchanges and Spark can split a frequent span
     first = materialise(first.select("span", "more", "first"), "repeated-spans").hint("merge")
     later = rows.join(first, ["span", "more"]).where(place != F.col("first"))
-    return later.groupBy("doc.doc_id", "doc.code").agg(F.collect_set("pos").alias("runs"))
+    runs = later.groupBy("number").agg(F.collect_set("pos").alias("runs"))
+    return heads.join(runs, "number").select("doc_id", "code", "runs")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,

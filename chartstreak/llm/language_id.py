@@ -9,11 +9,13 @@ language's fill to the power of the number of hashes.
 
 ``fit`` learns from about ``rows_per_language`` whole labelled texts of each
 language, picked by a hash of the id (the bound is a parameter; a language with
-fewer rows is learned from all of them). Tasks count n-grams, Spark sums the
-counts, and a language contains an n-gram if its relative frequency there is at
-least ``share`` of the highest in any language. At most
-``grams_per_language`` n-grams of each language reach the driver, so the model
-has a fixed size however large the corpus.
+fewer rows is learned from all of them). Every n-gram of those texts is in the
+filter. Tasks find the distinct n-grams, Spark joins their languages into one
+mask per n-gram and their masks into one per cell, and only the cells reach the
+driver: three jobs for any number of languages. The cells are about eight per
+distinct n-gram, within ``CELL_BITS``; beyond the upper end the filter grows
+fuller, which raises the share of false positives that is taken off, but loses
+no n-gram.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 equal texts get equal results; ties go to the language that sorts first; without
@@ -34,11 +36,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartstreak.llm.common import quoted, table
-from chartstreak.session import workers_import_package
+from chartstreak.session import materialise, workers_import_package
 
 ORDERS = (3, 4)
 HASHES = 2
-CELL_BITS = 20
+CELL_BITS = 20, 22         # least and most; a cell is one bit per language
 UNKNOWN = "und"
 BLANK = 32
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -80,10 +82,15 @@ def grams(text: str | None) -> np.ndarray:
     return np.concatenate(out)
 
 
-def cells_of(hashes: np.ndarray) -> list[np.ndarray]:
+def cells_of(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
     """The cells of each n-gram, one array per hash."""
-    mask = np.uint64((1 << CELL_BITS) - 1)
-    return [((hashes >> np.uint64(64 - CELL_BITS * (i + 1))) & mask).astype(np.int64) for i in range(HASHES)]
+    mask = np.uint64((1 << bits) - 1)
+    return [((hashes >> np.uint64(64 - bits * (i + 1))) & mask).astype(np.int64) for i in range(HASHES)]
+
+
+def _cell(gram: Column, bits: int, i: int) -> Column:
+    """``cells_of`` as a column."""
+    return F.shiftrightunsigned(gram, 64 - bits * (i + 1)).bitwiseAND(F.lit((1 << bits) - 1))
 
 
 @dataclass
@@ -97,7 +104,7 @@ class Model:
         if not len(hashes) or not self.languages:
             return UNKNOWN, 0.0
         hits = np.zeros(len(self.languages))
-        places = cells_of(hashes)
+        places = cells_of(hashes, self.cells.shape[1].bit_length() - 1)
         for word in range(self.cells.shape[0]):
             masks = self.cells[word][places[0]]
             for more in places[1:]:
@@ -117,33 +124,26 @@ class Model:
         return self.languages[best], float(min(1.0, max(0.0, share[best])))
 
 
-def build(languages: list[str], rows: list) -> Model:
-    """The filter of (language, n-gram) rows."""
+def build(languages: list[str], bits: int, touched: pd.DataFrame) -> Model:
+    """The filter of (word, cell, mask) rows; bit ``l % 64`` of word ``l // 64`` is language ``l``'s."""
     words = max(1, -(-len(languages) // 64))
-    kind = np.uint16 if len(languages) <= 16 else np.uint64
-    cells = np.zeros((words, 1 << CELL_BITS), kind)
-    false_positive = np.zeros(len(languages))
-    by_language: dict = {}
-    for language, gram in rows:
-        by_language.setdefault(language, []).append(gram)
-    for l, language in enumerate(languages):
-        hashes = np.array(by_language.get(language, []), np.int64).view(np.uint64)
-        touched = np.unique(np.concatenate(cells_of(hashes)))
-        cells[l // 64][touched] |= kind(1 << (l % 64))
-        false_positive[l] = (len(touched) / (1 << CELL_BITS)) ** HASHES
-    return Model(languages, cells, false_positive)
-
-
-def _count(batches):
+    cells = np.zeros((words, 1 << bits), np.uint16 if len(languages) <= 16 else np.uint64)
+    masks = touched["mask"].to_numpy(np.int64).view(np.uint64)
+    cells[touched["word"].to_numpy(np.int64), touched["cell"].to_numpy(np.int64)] = masks.astype(cells.dtype)
+    fill = [np.count_nonzero(cells[l // 64] & cells.dtype.type(1 << (l % 64))) / (1 << bits)
+            for l in range(len(languages))]
+    return Model(languages, cells, np.array(fill) ** HASHES)
+
+
+def _distinct(batches):
     for frame in batches:
-        for language, texts in frame.groupby("lang")["text"]:
-            found, n = np.unique(np.concatenate([grams(t) for t in texts]), return_counts=True)
-            yield pd.DataFrame({"lang": language, "gram": found.view(np.int64), "n": n})
+        for number, texts in frame.groupby("number")["text"]:
+            found = np.unique(np.concatenate([np.unique(grams(t)) for t in texts]))
+            yield pd.DataFrame({"number": number, "gram": found.view(np.int64)})
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        rows_per_language: int = 4_000, grams_per_language: int = 60_000, share: float = 0.2,
-        least: int = 2) -> Model:
+        rows_per_language: int = 4_000, cell_bits: tuple[int, int] = CELL_BITS) -> Model:
     """Learn from the rows of ``labelled`` that have an id and a language."""
     workers_import_package(labelled.sparkSession)
     rows = labelled.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(lang_col)).cast("string").alias("lang"),
@@ -152,21 +152,22 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(x for x in sizes if x != UNKNOWN)
     if not languages:
-        return build([], [])
-    odds = F.create_map(*[F.lit(x) for n in languages for x in (n, min(1.0, rows_per_language / sizes[n]))])
+        return build([], cell_bits[0], pd.DataFrame({"word": [], "cell": [], "mask": []}))
+    learned = labelled.sparkSession.createDataFrame(
+        [(n, l, min(1.0, rows_per_language / sizes[n])) for l, n in enumerate(languages)],
+        "lang string, number int, odds double")
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(F.col("lang").isin(languages) & F.col("text").isNotNull() & (draw < odds[F.col("lang")]))
-    counts = (sample.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    total = F.create_map(*[F.lit(x) for n in languages for x in (n, float(totals.get(n, 1)))])
-    rated = counts.withColumn("rate", F.col("n") / total[F.col("lang")])
-    top = rated.groupBy("gram").agg(F.max("rate").alias("top"))
-    held = rated.join(top, "gram").where((F.col("n") >= least) & (F.col("rate") >= share * F.col("top")))
-    kept = [(r[0], r[1]) for n in languages for r in
-            held.where(F.col("lang") == n).orderBy(F.desc("n"), "gram").limit(grams_per_language)
-            .select("lang", "gram").collect()]
-    return build(languages, kept)
+    sample = rows.where(F.col("text").isNotNull()).join(F.broadcast(learned), "lang").where(draw < F.col("odds"))
+    bit = F.expr("shiftleft(1L, number % 64)")
+    masks = materialise(
+        sample.select("number", "text").mapInPandas(_distinct, "number int, gram long")
+        .select("gram", F.expr("number div 64").alias("word"), bit.alias("mask"))
+        .groupBy("gram", "word").agg(F.bit_or("mask").alias("mask")), "language-grams")
+    bits = min(cell_bits[1], max(cell_bits[0], (8 * masks.count()).bit_length()))
+    touched = (masks.select("word", "mask", F.explode(F.array(*[_cell(F.col("gram"), bits, i) for i in range(HASHES)]))
+                            .alias("cell"))
+               .groupBy("word", "cell").agg(F.bit_or("mask").alias("mask")))
+    return build(languages, bits, touched.toPandas())
 
 
 def predictor(spark: SparkSession, model: Model):

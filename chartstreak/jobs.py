@@ -59,7 +59,7 @@ def train_countries(spark: SparkSession, labelled: DataFrame, output_root: str,
     """Per-country ML over one batch of labelled rows; everything it makes is kept below ``output_root``.
 
     ``models/country=XX`` the classifiers, ``importance`` the documents (both
-    replaced per country), ``<report_name>`` the report as JSON lines: counts,
+    published as a new version per country), ``<report_name>`` the report as JSON lines: counts,
     clustering outcome with the summary and profile of each cluster, classifier
     outcome (TRAINED, FAILED or the gate's reason) and the predictions for the
     first hit and the first song. Writing the same batch again replaces it.
@@ -69,7 +69,7 @@ def train_countries(spark: SparkSession, labelled: DataFrame, output_root: str,
     run = forest.train_per_country(spark, labelled, params, model_root=f"{output_root}/models")
     if run.models:
         docs = importance.to_documents(forest.importances(spark, run))
-        json_io.write_importance_docs(docs, f"{output_root}/importance")
+        json_io.publish_importance_docs(docs, f"{output_root}/importance")
     clusters = kmeans.cluster_profiles(cents).groupBy("country").agg(
         F.array_sort(F.collect_list(F.struct("cluster", "summary", "profile"))).alias("clusters"))
     samples = forest.predict_samples(spark, run, labelled).groupBy("country").agg(

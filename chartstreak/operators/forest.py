@@ -6,10 +6,10 @@ tasks and a small one is one file); each country's fit reads only its
 partition (partition pruning) and runs as an ordinary distributed MLlib job.
 Fits for different countries are submitted from a bounded thread pool; a fit
 that fails marks its country FAILED and leaves the others alone. Every model is
-saved below ``model_root/country=XX`` (replacing the country's earlier one), so
-a later job can load it. Only models and their 14 importances (countries x 14
-numbers) reach the driver. Scores are written per country from the same pool
-and read back as one table, so plans do not grow with the countries.
+saved as a version below ``model_root/country=XX`` and published when it is whole
+(``sources/versions.py``), so a later job can load it while the country is trained
+again. Only models and their 14 importances (countries x 14 numbers) reach the
+driver. Scores of all countries come from one job (``forest_table.py``).
 
 Sizes are the usual library defaults of the reference (500 trees, depth 20,
 leaves of 5 rows or more) and parameters.
@@ -29,11 +29,13 @@ from pyspark.sql import types as T
 from chartstreak.functions.features import feature_columns, label_column
 from chartstreak.functions.profile import prediction_text
 from chartstreak.operators import classify
+from chartstreak.operators.forest_table import NO_MODEL, SCORED, score_rows  # noqa: F401
 from chartstreak.operators.importance import percent_normalise
 from chartstreak.schemas import FEATURE_NAMES
 from chartstreak.session import materialise, shared_path
+from chartstreak.sources import versions
 
-TRAINED, FAILED, NO_MODEL, SCORED = "TRAINED", "FAILED", "NO_MODEL", "SCORED"
+TRAINED, FAILED = "TRAINED", "FAILED"
 ROWS_PER_FILE = 200_000
 
 
@@ -102,11 +104,13 @@ class ForestRun:
 
 
 def train_per_country(spark: SparkSession, labelled: DataFrame, params: ForestParams | None = None,
-                      model_root: str | None = None, by: str = "country") -> ForestRun:
+                      model_root: str | None = None, by: str = "country",
+                      keep_versions: int = versions.KEEP) -> ForestRun:
     """L3 (+A6/A7 gates, S9): fit one forest per country that passes the gate.
 
-    ``model_root``: where models are kept, one folder per country; a fresh
-    folder of the run if not given.
+    ``model_root``: where models are kept, one folder per country with its newest
+    ``keep_versions`` versions; a fresh folder of the run if not given. A country
+    whose fit fails keeps the version it had.
     """
     params = params or ForestParams()
     gate = materialise(classify.training_gate(labelled, by), "gate")
@@ -117,13 +121,17 @@ def train_per_country(spark: SparkSession, labelled: DataFrame, params: ForestPa
     # an Observation that reference can no longer be serialised when
     # transform() broadcasts the model. A loaded model carries no summary.
     model_path = model_root or shared_path(spark, "forest-models")
+    version = versions.next_version(spark, model_path, by)
     errors: dict[str, str] = {}
 
     def fit(c):
         try:
             m = fit_country(spark, train_path, c, params, by)
-            m.write().overwrite().save(f"{model_path}/{by}={c}")
-            return c, RandomForestClassificationModel.load(f"{model_path}/{by}={c}")
+            folder = f"{versions.group_folder(spark, model_path, by, c)}/version={version}"
+            m.save(folder)
+            loaded = RandomForestClassificationModel.load(folder)
+            versions.publish(spark, model_path, by, c, version, keep_versions)
+            return c, loaded
         except Exception as e:  # noqa: BLE001  one country's failure is its status, as in the reference
             errors[c] = str(e)[:500]
             return c, None
@@ -144,49 +152,33 @@ def importances(spark: SparkSession, run: ForestRun, by: str = "country") -> Dat
     return percent_normalise(raw, by)
 
 
-def _saved_countries(spark: SparkSession, model_root: str, by: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(model_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    return sorted(s.getPath().getName()[len(by) + 1:] for s in fs.listStatus(root)
-                  if s.getPath().getName().startswith(f"{by}="))
+def load_model(spark: SparkSession, model_root: str, country: str, by: str = "country"):
+    """The country's current model, None if it has none."""
+    folder = versions.current(spark, model_root, by).get(country)
+    return folder and RandomForestClassificationModel.load(folder)
 
 
-def score(spark: SparkSession, model_root: str, songs: DataFrame, by: str = "country",
-          parallelism: int = 4) -> DataFrame:
+def predicted_by_model(model: RandomForestClassificationModel, songs: DataFrame) -> DataFrame:
+    """``songs`` of one country scored by the model itself (all features must be there)."""
+    if "durationSeconds" not in songs.columns:
+        songs = songs.withColumn("durationSeconds", F.col("durationMs") / 1000.0)
+    out = model.transform(_assembler().transform(songs))
+    return out.select(*songs.columns, F.col("prediction").cast("int").alias("prediction"), "rawPrediction")
+
+
+def score(spark: SparkSession, model_root: str, songs: DataFrame, by: str = "country") -> DataFrame:
     """Every row of ``songs`` (chart rows or rows with the 14 features) with its country's prediction.
 
     Adds ``prediction`` (int), ``predictionText`` and ``scoreStatus``. Rows of a
-    country without a saved model keep a null prediction and NO_MODEL. Each
-    country's rows are scored by a job of their own and written; the result is
-    read back as one table.
+    country without a saved model keep a null prediction and NO_MODEL, rows with a
+    null feature a null prediction and INCOMPLETE. All countries are scored in one
+    job, with the versions that are current when ``score`` is called.
     """
-    rows_path, out_path = shared_path(spark, "score-in"), shared_path(spark, "score-out")
     if "durationSeconds" not in songs.columns:
         songs = songs.withColumn("durationSeconds", F.col("durationMs") / 1000.0)
-    known = songs.where(F.col(by).isNotNull())
-    _by_country(known.withColumn("_part", F.col(by)), by).write.partitionBy("_part").parquet(rows_path)
-    saved = set(_saved_countries(spark, model_root, by))
-    present = [r[0] for r in known.select(by).distinct().collect() if r[0] in saved]
-    fields = [*songs.schema.fields, T.StructField("prediction", T.IntegerType())]
-
-    def one(c):
-        model = RandomForestClassificationModel.load(f"{model_root}/{by}={c}")
-        rows = _rows_of(spark, rows_path, c, "_part").drop("_part")
-        out = model.transform(_assembler().transform(rows))
-        out.select(*songs.columns, F.col("prediction").cast("int").alias("prediction")).write.parquet(f"{out_path}/p={c}")
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        list(pool.map(one, sorted(present)))
-    scored = [spark.read.schema(T.StructType(fields)).parquet(f"{out_path}/*")] if present else []
-    rest = songs.where(F.col(by).isNull() | ~F.col(by).isin(sorted(present))).withColumn(
-        "prediction", F.lit(None).cast("int"))
-    out = rest if not scored else scored[0].unionByName(rest)
     text = F.when(F.col("prediction").isNotNull(), prediction_text(F.col("prediction")))
-    return (out.withColumn("predictionText", text)
-            .withColumn("scoreStatus", F.when(F.col("prediction").isNull(), NO_MODEL).otherwise(SCORED)))
+    return score_rows(spark, model_root, songs, by).select(
+        *songs.columns, "prediction", text.alias("predictionText"), "scoreStatus")
 
 
 def predict_samples(spark: SparkSession, run: ForestRun, labelled: DataFrame, by: str = "country") -> DataFrame:

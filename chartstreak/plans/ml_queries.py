@@ -220,3 +220,22 @@ def q_score_with_saved(spark, sf_dir):
     lab, run = _forest(spark, sf_dir)
     return flat(forest.score(spark, run.model_path, lab).select(
         "country", "spotifyId", "snapshotDate", "dailyRank", "scoreStatus"))
+
+
+@register("score_equals_model", with_chart(
+    """select country, count(*) as rows, count(*) as equalRows
+       from labelled group by country having count(distinct hit) = 2""", extra=LAB))
+def q_score_equals_model(spark, sf_dir):
+    """Per trained country the rows whose prediction in the one pass is that of the saved model itself."""
+    lab, run = _forest(spark, sf_dir)
+    keys = ["country", "spotifyId", "snapshotDate", "dailyRank"]
+    rows = forest.score(spark, run.model_path, lab).where("scoreStatus = 'SCORED'")
+    model = None
+    for country in sorted(run.models):
+        one = forest.predicted_by_model(run.models[country], lab.where(F.col("country") == country))
+        one = one.select(*keys, F.col("prediction").alias("modelPrediction"))
+        model = one if model is None else model.unionByName(one)
+    if model is None:
+        return rows.groupBy("country").agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("equalRows"))
+    same = F.col("prediction") == F.col("modelPrediction")
+    return rows.join(model, keys).groupBy("country").agg(F.count("*").alias("rows"), F.count_if(same).alias("equalRows"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartstreak.schemas import IMPORTANCE_SCHEMA, LABELLED_FIELDS, LABELLED_SCHEMA
+from chartstreak.sources import versions
 
 JSON_OPTIONS = {"dateFormat": "yyyy-MM-dd"}
 
@@ -75,7 +76,26 @@ def write_importance_docs(docs: DataFrame, path: str) -> str:
     return path
 
 
+FOLDER = "countryFolder"
+
+
+def publish_importance_docs(docs: DataFrame, path: str, keep: int = versions.KEEP) -> str:
+    """S8 for readers that do not wait: each country's document is a new version, published when written.
+
+    Countries that are not in ``docs`` keep theirs.
+    """
+    spark = docs.sparkSession
+    version = versions.next_version(spark, path, FOLDER)
+    (docs.withColumn(FOLDER, F.col("country")).withColumn("version", F.lit(version))
+         .write.mode("append").partitionBy(FOLDER, "version").json(path))
+    for country in versions.groups(spark, path, FOLDER):
+        if f"version={version}" in versions.versions(spark, path, FOLDER, country):
+            versions.publish(spark, path, FOLDER, country, version, keep)
+    return path
+
+
 def read_importance_docs(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All documents as (country, featureImportances)."""
-    r = spark.read.schema(IMPORTANCE_SCHEMA).option("multiLine", multiline).json(path)
+    """All documents as (country, featureImportances); of published ones each country's current version."""
+    published = list(versions.current(spark, path, FOLDER).values())
+    r = spark.read.schema(IMPORTANCE_SCHEMA).option("multiLine", multiline).json(published or path)
     return r.select("country", "featureImportances")

@@ -11,7 +11,7 @@ from chartstreak.operators import forest, streaks
 from chartstreak.operators import label as lab
 from chartstreak.plans.queries import labelled, restated_chart
 from chartstreak.session import ensure_checkpoint_dir, materialise, remove_path, shared_path
-from chartstreak.sources import json_io
+from chartstreak.sources import json_io, versions
 from chartstreak.sources.chart import load_chart
 from chartstreak.sources.chart_csv import write_chart_csv
 from chartstreak.streaming import stream as st
@@ -66,7 +66,7 @@ def test_streaming_job_report_models_and_documents(spark, tmp_path):
             assert os.path.isdir(f"{root}/models/country={c}")
     docs = {r["country"]: r for r in json_io.read_importance_docs(spark, f"{root}/importance").collect()}
     assert set(docs) == {c for c, r in report.items() if r["classifierStatus"] == forest.TRAINED}
-    folder = f"{root}/importance/countryFolder={next(iter(docs))}"
+    folder = versions.current(spark, f"{root}/importance", json_io.FOLDER)[next(iter(docs))]
     name = next(n for n in os.listdir(folder) if n.endswith(".json"))
     assert set(json.loads(open(f"{folder}/{name}").readline())) == {"country", "featureImportances"}
     scored = forest.score(spark, f"{root}/models", rows)

@@ -1,12 +1,14 @@
 """ML invariants: importances, gates, determinism, K-Means edge cases."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartstreak.operators import classify, forest, kmeans
+from chartstreak.operators import classify, forest, forest_table, importance, kmeans
 from chartstreak.plans.queries import labelled
 from chartstreak.schemas import CHART_SCHEMA, FEATURE_NAMES
+from chartstreak.sources import json_io, versions
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -95,6 +97,109 @@ def test_rows_without_a_model_keep_their_place(spark, run):
     assert forest.score(spark, run.model_path, rows.limit(0)).collect() == []
 
 
+def _keyed(rows):
+    return {(r["country"], r["spotifyId"], r["snapshotDate"], r["dailyRank"]): r["prediction"] for r in rows}
+
+
+def test_one_pass_equals_each_model(spark, lab, run, monkeypatch):
+    """Every row of every country, also when a country is dealt over many groups."""
+    want = {}
+    for c, m in run.models.items():
+        want |= _keyed(forest.predicted_by_model(m, lab.where(F.col("country") == c)).collect())
+    assert len(run.models) > 1 and set(want.values()) == {0, 1}
+    for most in (200_000, 40):
+        monkeypatch.setattr(forest_table, "ROWS_PER_GROUP", most)
+        scored = forest.score(spark, run.model_path, lab)
+        assert _keyed(scored.where("scoreStatus = 'SCORED'").collect()) == want
+
+
+def test_votes_equal_the_models_bit_by_bit(spark, lab, run):
+    country, model = sorted(run.models.items())[0]
+    rows = forest.predicted_by_model(model, lab.where(F.col("country") == country)).collect()
+    packed = forest_table.packed_forests(spark, run.model_path).where(F.col(forest_table.GROUP) == country)
+    x = np.array([[float(r[n]) for n in FEATURE_NAMES] for r in rows])
+    votes = forest_table.Forest(packed.toArrow()).votes(x)
+    assert votes.tolist() == [r["rawPrediction"].toArray().tolist() for r in rows]
+
+
+def test_scoring_keeps_every_row_and_type(spark, lab, run):
+    """Null countries, null features, repeated rows, names of inner columns and other types go through."""
+    c = sorted(run.models)[0]
+    rows = lab.where(F.col("country") == c).limit(5)
+    odd = (rows.unionByName(rows).unionByName(rows.withColumn("country", F.lit(None).cast("string")))
+           .unionByName(rows.withColumn("tempo", F.lit(None).cast("double")))
+           .withColumn("salt", F.lit("x")).withColumn("_salt", F.create_map(F.lit("a"), F.lit(1)))
+           .withColumn("at", F.lit("2024-01-01 10:00:00").cast("timestamp")))
+    out = forest.score(spark, run.model_path, odd)
+    assert out.columns[:len(odd.columns)] == odd.columns
+    got = out.collect()
+    assert sorted(r["scoreStatus"] for r in got) == sorted(
+        [forest.SCORED] * 10 + [forest.NO_MODEL] * 5 + [forest_table.INCOMPLETE] * 5)
+    assert all((r["prediction"] is None) == (r["scoreStatus"] != forest.SCORED) for r in got)
+    assert {r["at"] for r in got} == {odd.first()["at"]} and all(r["_salt"] == {"a": 1} for r in got)
+
+
+def test_one_job_scores_all_countries(spark, lab, run):
+    """The plan holds one cogroup however many countries there are, and no broadcast of models."""
+    plan = forest.score(spark, run.model_path, lab)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CoGroup") == 1
+
+
+def test_scoring_reads_one_version_while_countries_are_trained_again(spark, lab, tmp_path):
+    """Rows scored after a second training published (and removed) versions are those of the first."""
+    root = str(tmp_path / "models")
+    first = forest.train_per_country(spark, lab, forest.ForestParams(num_trees=3, max_depth=3), root, keep_versions=1)
+    scored = forest.score(spark, root, lab)
+    before = _keyed(scored.collect())
+    turned = lab.withColumn("hit", ~F.col("hit"))
+    second = forest.train_per_country(spark, turned, forest.ForestParams(num_trees=3, max_depth=3), root, keep_versions=1)
+    assert set(second.models) == set(first.models)
+    assert _keyed(scored.collect()) == before
+    assert _keyed(forest.score(spark, root, lab).collect()) != before
+    assert all(len(versions.versions(spark, root, "country", c)) == 1 for c in first.models)
+
+
+def test_a_writer_that_dies_leaves_the_version_before(spark, lab, tmp_path, monkeypatch):
+    root = str(tmp_path / "models")
+    small = forest.ForestParams(num_trees=3, max_depth=3)
+    run = forest.train_per_country(spark, lab, small, root)
+    current = versions.current(spark, root, "country")
+
+    def dies(*_):
+        raise RuntimeError("power cut")
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", dies)
+        again = forest.train_per_country(spark, lab.withColumn("hit", ~F.col("hit")), small, root)
+    assert not again.models and set(again.errors.values()) == {"power cut"}
+    assert versions.current(spark, root, "country") == current
+    assert forest.load_model(spark, root, sorted(run.models)[0]).getNumTrees == 3
+    assert forest.load_model(spark, root, "nowhere") is None
+    third = forest.train_per_country(spark, lab, small, root, keep_versions=1)
+    assert set(third.models) == set(run.models)
+    assert all(len(versions.versions(spark, root, "country", c)) == 1 for c in third.models)
+
+
+def test_published_documents(spark, tmp_path):
+    """A country's document changes at once, others stay; names that are no folder names go through."""
+    path = str(tmp_path / "docs")
+
+    def docs(values):
+        rows = [(c, i, n, v) for c, v in values.items() for i, n in enumerate(FEATURE_NAMES)]
+        return importance.to_documents(spark.createDataFrame(rows, "country string, pos int, feature string, importance double"))
+
+    def read():
+        return {r["country"]: r["featureImportances"][FEATURE_NAMES[0]] for r in json_io.read_importance_docs(spark, path).collect()}
+    json_io.publish_importance_docs(docs({"AA": 1.0, "b/c=d": 2.0}), path)
+    before = json_io.read_importance_docs(spark, path)
+    json_io.publish_importance_docs(docs({"AA": 3.0}), path)
+    assert read() == {"AA": 3.0, "b/c=d": 2.0}
+    assert sorted(r["featureImportances"][FEATURE_NAMES[0]] for r in before.collect()) == [1.0, 2.0]
+    for v in range(5):
+        json_io.publish_importance_docs(docs({"AA": float(v)}), path, keep=2)
+    assert read() == {"AA": 4.0, "b/c=d": 2.0}
+    assert len(versions.versions(spark, path, json_io.FOLDER, "AA")) == 2
+
+
 def test_one_failing_fit_is_a_status(spark, lab, monkeypatch):
     real = forest.fit_country
 

@@ -8,23 +8,25 @@ repeats in one of the two repeats in the result, and every other mismatch
 becomes optional. No unions arise, so a wrapper is a regular expression of
 tokens, text slots, ``( )?`` and ``( )+`` (``as_expression`` prints it).
 
-A host's wrapper is inferred in a tree: tasks reduce pages to distinct streams,
-each (host, salt) group aligns its streams, and the few partial wrappers of a
-host are aligned with each other; a host with a third of all pages is spread
-over ``SALTS`` groups, each of which sees a stream once however many pages have
-it. Text statistics per slot (the same on all pages?, share of link text) are
-summed by Spark beside it.
-
-Names and statistics decide which slots hold the article, not the alignment:
-the slots inside an ``article`` or ``main`` container if the host has one (else
-inside a container named like one, else those that vary between pages and are
-mostly not links), without navigation, headers, footers, asides, forms, notices,
-adverts and comments at any depth. A page is aligned with its host's wrapper,
-but the text of its article slots is returned whether it aligned or not, so the
-wrapper does not change the rows. That is a swap of a name rule for the
-alignment, and an article whose names are not in the lists below, on a host
-where other slots have such names, is lost. Scripts, styles, comments and the
-head never enter the stream.
+A host's wrapper is inferred in a tree of bounded fan-in: tasks reduce pages to
+distinct streams, groups of about ``FAN_IN`` streams of a host are aligned, their
+wrappers are aligned in the next round, and so on to one; the number of groups
+grows with the host's distinct streams, so a host with a third of all pages is
+spread. Each page is then aligned with its host's wrapper, which gives every text
+a place: the position in the wrapper and the open containers. Spark sums per
+place whether the text is the same on all pages, its share of links and how many
+pages have it.
+
+The places decide which text is the article. Fixed places and places of links
+are not. Names are a prior: places apart by name (navigation, headers, footers,
+asides, forms, notices, adverts, comments, at any depth) are left out, and an
+``article`` or ``main`` container, else one named like one, is believed if it
+holds at least ``NAMED_SHARE`` of the text that varies. Otherwise the wrapper
+alone decides: the places that vary between pages, without optional parts that
+most pages lack, unless these stand in the main container, the deepest one with
+``MAIN_SHARE`` of the text that varies. A page that would lose most of its varying
+text this way (another template of its host) is judged by its own places.
+Scripts, styles, comments and the head never enter the stream.
 
 Defined results: null html counts as empty and gives an empty text; a url that
 is null or has no host belongs to the host ''. Repeated rows are pages each.
@@ -42,6 +44,7 @@ import html as entities
 import json
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -51,8 +54,11 @@ from pyspark.sql import functions as F
 from chartstreak.llm.common import Generations, quoted, table, text_of
 from chartstreak.session import materialise, workers_import_package
 
-SALTS = 16
+FAN_IN = 64
 LONGEST_PERIOD = 12
+OUTSIDE = -1
+# Shares of the text that varies: what a named article must hold to be believed, and what a main container holds.
+NAMED_SHARE, MAIN_SHARE = 0.25, 0.6
 BROADCAST_BYTES = 8 << 20
 
 # Fixed values of HTML: how tags take part in a stream.
@@ -296,7 +302,7 @@ def align(wrapper: list, other: list) -> list:
 def infer(wrappers: list) -> list:
     """One wrapper for all; longest first, so that shorter ones mostly make parts optional."""
     ordered = sorted(wrappers, key=lambda w: (-len(w), json.dumps(w)))
-    whole = ordered[0]
+    whole = align(ordered[0], ordered[0])  # its own groups, everywhere
     for other in ordered[1:]:
         whole = align(whole, other)
     return whole
@@ -311,40 +317,12 @@ def as_expression(wrapper: list) -> str:
     return " ".join(out)
 
 
-def slots_of(wrapper: list) -> set:
-    """The slots (open containers and block) of the wrapper's text tokens."""
-    found: set = set()
-    open_tags: list = []
-    block = ""
-
-    def walk(key):
-        nonlocal block
-        if key[0] == "+":
-            for k in key[1]:
-                walk(k)
-        elif key == TEXT:
-            found.add("/".join([*open_tags, block]))
-            found.add("/".join([*open_tags, ""]))
-        elif key.startswith("</"):
-            block = ""
-            if any(t.partition(".")[0] == key[2:] for t in open_tags):
-                while open_tags.pop().partition(".")[0] != key[2:]:
-                    pass
-        elif key[1:].partition(".")[0] in CONTAINERS:
-            block = ""
-            open_tags.append(key[1:])
-        else:
-            block = key[1:]
-    for key, _ in wrapper:
-        walk(key)
-    return found
-
-
 def _named(part: str, names: set) -> bool:
     words = part.split(".")[1:]
     return not names.isdisjoint(words) and LAYOUT_NAMES.isdisjoint(words)
 
 
+@lru_cache(100_000)
 def apart(slot: str) -> bool:
     """Whether a slot lies in something that is not the article."""
     inside = False
@@ -363,14 +341,50 @@ def _within(slot: str, tags: set, names: set) -> bool:
     return any(p.partition(".")[0] in tags or _named(p, names) for p in slot.split("/")[:-1])
 
 
-def article_slots(slots: set, stats: dict) -> set:
-    """The slots that hold the article. ``stats``: slot -> (always the same text, share of link text)."""
-    open_slots = {s for s in slots if not apart(s)}
+def varies(seen: tuple) -> bool:
+    """Whether a place holds text that differs between pages and is mostly not links."""
+    constant, links, _, _ = seen
+    return not constant and links < 0.5
+
+
+def _weight(places, stats: dict) -> int:
+    return sum(stats[p][2] for p in places if varies(stats[p]))
+
+
+def main_container(stats: dict) -> list:
+    """The open tags of the deepest container that holds most (``MAIN_SHARE``) of the text that varies."""
+    inside: list = []
+    total = _weight(stats, stats)
+    while total:
+        deeper: dict = {}
+        for place in stats:
+            path = place[1].split("/")[:-1]
+            if varies(stats[place]) and len(path) > len(inside) and path[:len(inside)] == inside:
+                deeper[path[len(inside)]] = deeper.get(path[len(inside)], 0) + stats[place][2]
+        best = max(deeper, key=lambda t: (deeper[t], t), default=None)
+        if best is None or deeper[best] < MAIN_SHARE * total:
+            break
+        inside.append(best)
+    return inside
+
+
+def article(stats: dict, options: bool = True) -> set:
+    """The places of a wrapper that hold the article.
+
+    ``stats``: (wrapper position, slot) -> (same text on all pages, share of
+    link text, characters, whether it is an optional part that most pages lack).
+    ``options=False`` keeps such parts wherever they stand.
+    """
+    stats = {p: v for p, v in stats.items() if not apart(p[1])}
+    total = _weight(stats, stats)
     for tags, names in ((ARTICLE_TAGS, set()), (set(), ARTICLE_NAMES)):
-        if any(_within(s, tags, names) for s in open_slots):
-            return {s for s in open_slots if _within(s, tags, names)}
-    texts = {s for s in open_slots if s not in stats or stats[s][1] < 0.5}
-    return {s for s in texts if s not in stats or not stats[s][0]} or texts
+        named = {p for p in stats if _within(p[1], tags, names)}
+        if named and _weight(named, stats) >= NAMED_SHARE * total:
+            return named
+    main = main_container(stats)
+    held = {p for p, v in stats.items() if varies(v) and (
+        not options or not v[3] or p[1].split("/")[:-1][:len(main)] == main)}
+    return held or {p for p, v in stats.items() if v[1] < 0.5}
 
 
 def _plain(key):
@@ -381,105 +395,158 @@ def load(text: str) -> list:
     return [(_plain(k), bool(o)) for k, o in json.loads(text)]
 
 
-def extract(source: str, wrapper: list, held: set, stats: dict) -> str:
-    """The text of the page's tokens that lie in the slots ``held``, in page order.
+def aligned(page: Page, wrapper: list, keys: list | None = None, groups: list | None = None):
+    """(wrapper position, token) of each text token in page order; -1 for a token that the wrapper does not have."""
+    keys = [k for k, _ in wrapper] if keys is None else keys
+    items = absorb(fold(page.keys), _groups(keys) if groups is None else groups)
+    for op, i, _, k, m in _matched(keys, [x[0] for x in items]):
+        for n, (_, begin, end) in enumerate(items[k:m]):
+            for token in range(begin, end):
+                if token in page.texts:
+                    yield (i + n if op == "equal" else OUTSIDE), token
 
-    A page with no text there (another template of its host) is judged by its own slots.
+
+def chosen(blocks: list, stats: dict, held: set) -> list:
+    """The texts of a page's blocks (place, text) that lie in the places ``held``.
+
+    A page that would lose most of its text that varies (another template of
+    its host) is judged by its own places.
     """
-    page = Page(source)
-    own = set(page.slots.values())
-    if held.isdisjoint(own):
-        held = article_slots(own, stats)
-    items = absorb(fold(page.keys), _groups([k for k, _ in wrapper]))
-    out: list = []
-    for op, _, _, k, m in _matched([k for k, _ in wrapper], [x[0] for x in items]):
-        for _, begin, end in items[k:m]:
-            out += [page.texts[i] for i in range(begin, end)
-                    if i in page.texts and (page.slots[i] in held if op == "equal" else
-                                            page.slots[i] in held and not apart(page.slots[i]))]
-    return "\n".join(out)
+    own = {place: stats[place] for place, _ in blocks}
+    candidates = article(own, options=False)
+    size = {True: 0, False: 0}
+    for place, text in blocks:
+        if place in held or place in candidates:
+            size[place in held] += len(text)
+    if size[True] < size[False]:
+        held = candidates
+    return [text for place, text in blocks if place in held]
 
 
-SLOT = ("slot", "low", "high", "chars", "links", "texts")
-STREAM = ("host string, code long, stream string, "
-          f"slots array<struct<slot:string,{','.join(f'{c}:long' for c in SLOT[1:])}>>")
+STREAM = "host string, code long, stream string"
+BLOCK = "struct<at:int,slot:string,text:string,links:long,optional:boolean,first:boolean>"
 
 
 def _streams(batches):
     for frame in batches:
-        seen: dict = {}
-        for host, source in zip(frame["host"], frame["html"]):
-            page = Page(source)
-            stream = json.dumps([(k, False) for k, _, _ in fold(page.keys)])
-            slots = seen.setdefault((host, stream), {})
-            for at, text in page.texts.items():
-                code = xxhash.xxh3_64_intdigest(text) >> 1
-                old = slots.get(page.slots[at], (code, code, 0, 0, 0))
-                slots[page.slots[at]] = (min(old[0], code), max(old[1], code), old[2] + len(text),
-                                         old[3] + page.links[at], old[4] + 1)
-        yield pd.DataFrame([(h, xxhash.xxh3_64_intdigest(s) >> 1, s,
-                             [dict(zip(SLOT, (k, *v))) for k, v in x.items()])
-                            for (h, s), x in seen.items()], columns=["host", "code", "stream", "slots"])
+        seen = dict.fromkeys((host, json.dumps([(k, False) for k, _, _ in fold(Page(source).keys)]))
+                             for host, source in zip(frame["host"], frame["html"]))
+        yield pd.DataFrame([(h, xxhash.xxh3_64_intdigest(s) >> 1, s) for h, s in seen],
+                           columns=["host", "code", "stream"])
 
 
 def _inferred(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    wrapper = infer([load(s) for s in sorted(set(frame["stream"]))])
-    return pd.DataFrame({"host": [key[0]], "stream": [json.dumps(wrapper)]})
+    wrapper = json.dumps(infer([load(s) for s in sorted(set(frame["stream"]))]))
+    return pd.DataFrame({"host": [key[0]], "code": [xxhash.xxh3_64_intdigest(wrapper) >> 1], "stream": [wrapper]})
 
 
 def host_of(url: str):
     return F.lower(F.regexp_extract(text_of(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, stream, stats): the wrapper of every host as JSON, and its slots' text statistics."""
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fan_in: int = FAN_IN) -> DataFrame:
+    """(host, code, stream): the wrapper of every host as JSON, merged in rounds of about ``fan_in`` wrappers a group."""
     workers_import_package(pages.sparkSession)
     src = pages.select(host_of(url_col).alias("host"), text_of(html_col).alias("html"))
-    streams = materialise(src.mapInPandas(_streams, STREAM), "streams")
-    distinct = streams.groupBy("host", "code").agg(F.first("stream").alias("stream"))
-    partial = (distinct.groupBy("host", F.pmod(F.xxhash64("code"), F.lit(SALTS)).alias("salt"))
-               .applyInPandas(_inferred, "host string, stream string"))
-    whole = partial.groupBy("host").applyInPandas(_inferred, "host string, stream string")
-    slot = streams.select("host", F.explode("slots").alias("s")).groupBy("host", "s.slot").agg(
-        F.min("s.low").alias("low"), F.max("s.high").alias("high"), F.sum("s.chars").alias("chars"),
-        F.sum("s.links").alias("links"), F.sum("s.texts").alias("texts"))
-    constant = (F.col("low") == F.col("high")) & (F.col("texts") >= 3)
-    stats = slot.groupBy("host").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(
-        "slot", F.array(constant.cast("double"), F.col("links") / F.col("chars")))))).alias("stats"))
-    return whole.join(stats, "host", "left").select("host", "stream", F.coalesce("stats", F.lit("{}")).alias("stats"))
+    level = materialise(src.mapInPandas(_streams, STREAM).groupBy("host", "code").agg(F.min("stream").alias("stream")),
+                        "streams")
+    turn = 0
+    while True:
+        sizes = level.groupBy("host").agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= 1:
+            return level
+        part = F.pmod(F.xxhash64("code", F.lit(turn)), F.ceil(F.col("n") / fan_in)).alias("part")
+        dealt = level.join(sizes, "host").select("host", part, "code", "stream")
+        level = materialise(dealt.groupBy("host", "part").applyInPandas(_inferred, STREAM), "wrappers")
+        turn += 1
 
 
-_wrappers = Generations(2_000)
+_wrappers, _articles = Generations(2_000), Generations(2_000)
+
+
+def _aligned_blocks(batches):
+    for frame in batches:
+        out = []
+        for source, stream in zip(frame["html"], frame["stream"]):
+            known = _wrappers.get(stream)
+            if known is None:
+                wrapper = infer([load(stream)])
+                keys = [k for k, _ in wrapper]
+                known = wrapper, keys, _groups(keys)
+                _wrappers.keep(stream, known)
+            page, seen, blocks = Page(source), set(), []
+            for at, token in aligned(page, *known):
+                place = at, page.slots[token]
+                blocks.append({"at": at, "slot": place[1], "text": page.texts[token], "links": page.links[token],
+                               "optional": at == OUTSIDE or known[0][at][1], "first": place not in seen})
+                seen.add(place)
+            out.append(blocks)
+        rows = frame[["page_id", "url", "host"]].copy()
+        rows["page_id"] = rows["page_id"].astype("Int64")
+        rows["blocks"] = out
+        yield rows
+
+
+def _with_hosts(pages: DataFrame, hosts: DataFrame, column: str) -> DataFrame:
+    """``pages`` with the column of their host; broadcast only below ``BROADCAST_BYTES``."""
+    size = hosts.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    hosts = hosts.select("host", column)
+    joined = pages.join(F.broadcast(hosts) if size <= BROADCAST_BYTES else hosts.hint("merge"), "host", "left")
+    return joined.withColumn(column, F.coalesce(column, F.lit("[]")))
+
+
+def place_stats(blocks: DataFrame) -> DataFrame:
+    """(host, stats): per place of the host's wrapper what ``article`` asks for, as JSON."""
+    places = blocks.select("host", F.inline("blocks")).groupBy("host", "at", "slot").agg(
+        F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"),
+        F.sum(F.length("text")).alias("chars"), F.sum("links").alias("links"), F.count_if("first").alias("pages"),
+        F.max("optional").alias("optional"))
+    hosts = blocks.groupBy("host").agg(F.count("*").alias("all_pages"))
+    rare = F.col("optional") & (F.col("pages") * 2 < F.col("all_pages"))
+    constant = (F.col("low") == F.col("high")) & (F.col("pages") >= 3)
+    return places.join(hosts, "host").groupBy("host").agg(F.to_json(F.collect_list(F.struct(
+        "at", "slot", constant.alias("constant"), (F.col("links") / F.col("chars")).alias("links"), "chars",
+        rare.alias("rare")))).alias("stats"))
 
 
 def _extract(batches):
     for frame in batches:
         out = []
-        for page, url, source, stream, stats in zip(*(frame[c] for c in ("page_id", "url", "html", "stream", "stats"))):
-            key = (stream, stats)
-            known = _wrappers.get(key)
+        for page, url, blocks, stats in zip(*(frame[c] for c in ("page_id", "url", "blocks", "stats"))):
+            known = _articles.get(stats)
             if known is None:
-                wrapper = load(stream)
-                found = {s: (v[0] > 0, v[1]) for s, v in json.loads(stats).items()}
-                known = wrapper, article_slots(slots_of(wrapper) | set(found), found), found
-                _wrappers.keep(key, known)
-            text = extract(source, *known)
+                found = {(x["at"], x["slot"]): (x["constant"], x["links"], x["chars"], x["rare"])
+                         for x in json.loads(stats)}
+                known = found, article(found)
+                _articles.keep(stats, known)
+            text = "\n".join(chosen([((x["at"], x["slot"]), x["text"]) for x in blocks], *known))
             out.append((page, url, text, len(text)))
         rows = pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"])
         rows["page_id"] = rows["page_id"].astype("Int64")
         yield rows
 
 
-def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars) of every page, by its host's wrapper."""
-    wrappers = materialise(infer_wrappers(pages, url_col, html_col), "wrappers")
-    size = wrappers.agg(F.sum(F.length("stream") + F.length("stats"))).first()[0] or 0
+def aligned_pages(pages: DataFrame, wrappers: DataFrame, id_col: str = "page_id", url_col: str = "url",
+                  html_col: str = "html") -> DataFrame:
+    """(page_id, url, host, blocks): the text of every page by its place in the host's wrapper."""
     src = pages.select(F.col(quoted(id_col)).cast("long").alias("page_id"), F.col(quoted(url_col)).alias("url"),
                        host_of(url_col).alias("host"), text_of(html_col).alias("html"))
-    if size <= BROADCAST_BYTES:
-        wrappers = F.broadcast(wrappers)
-    return src.join(wrappers, "host").select("page_id", "url", "html", "stream", "stats").mapInPandas(
-        _extract, "page_id long, url string, text string, n_chars long")
+    return _with_hosts(src, wrappers, "stream").select("page_id", "url", "host", "html", "stream").mapInPandas(
+        _aligned_blocks, f"page_id long, url string, host string, blocks array<{BLOCK}>")
+
+
+def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                  wrappers: DataFrame | None = None) -> DataFrame:
+    """(page_id, url, text, n_chars) of every page, by its host's wrapper (inferred from ``pages`` unless given)."""
+    workers_import_package(pages.sparkSession)
+    wrappers = infer_wrappers(pages, url_col, html_col) if wrappers is None else wrappers
+    blocks = materialise(aligned_pages(pages, wrappers, id_col, url_col, html_col), "page-blocks")
+    stats = materialise(place_stats(blocks), "place-stats")
+    # a page without any block has no place to look at
+    none = blocks.where(F.size("blocks") == 0).select("page_id", "url", F.lit("").alias("text"),
+                                                      F.lit(0).cast("long").alias("n_chars"))
+    some = _with_hosts(blocks.where(F.size("blocks") > 0), stats, "stats").select("page_id", "url", "blocks", "stats")
+    return some.mapInPandas(_extract, "page_id long, url string, text string, n_chars long").union(none)
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,70 @@ def test_shuffled_wrappers_give_the_same(spark, monkeypatch):
     assert {r.page_id: r.text for r in out} == want
 
 
+def unnamed(i, rng, blurb):
+    """A page whose names say nothing; every third has a block of changing text before the story."""
+    story = "".join(f"<p>Story {i} {k} {rng.random()} " + "goes on " * 6 + "</p>" for k in range(rng.randint(2, 5)))
+    extra = f'<div class="q"><p>{blurb} {rng.random()}</p></div>' if i % 3 == 0 else ""
+    return (f'<html><body><div class="x"><h1>Name {i}</h1></div>{extra}<div class="y">{story}</div>'
+            f'<div class="z"><p>Every page ends so.</p></div></body></html>')
+
+
+def named(i, rng):
+    """A host where a short ``main`` holds next to nothing and the story stands in a container without a name."""
+    story = "".join(f"<p>Long story {i} {k} {rng.random()} " + "and so on " * 20 + "</p>" for k in range(4))
+    return f'<html><body><main><p>Issue {i}</p></main><div class="k7">{story}</div></body></html>'
+
+
+def test_optional_and_fixed_parts_of_the_wrapper_decide(spark):
+    rng = random.Random(5)
+    rows = [(i, f"http://plain.example.org/{i}", unnamed(i, rng, "Buy"), "x", "y") for i in range(40)]
+    rows += [(i, f"http://odd.example.org/{i}", named(i, rng), "x", "y") for i in range(40, 60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {r.page_id: r.text for r in op.extract_pages(df).collect()}
+    for i in range(40):
+        lines = out[i].split("\n")
+        assert lines[0] == f"Name {i}" and all(x.startswith(f"Story {i} ") for x in lines[1:]) and len(lines) > 2
+    assert all("Long story" in out[i] for i in range(40, 60))
+
+
+def test_another_wrapper_gives_other_rows(spark):
+    rng = random.Random(6)
+    rows = [(i, f"http://plain.example.org/{i}", unnamed(i, rng, "Buy"), "x", "y") for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    wrappers = op.infer_wrappers(df)
+    stream = op.load(wrappers.first()["stream"])
+    assert any(o for _, o in stream)
+    rigid = spark.createDataFrame([("plain.example.org", 0, json.dumps([(k, False) for k, _ in stream]))], op.STREAM)
+    whole = {r.page_id: r.text for r in op.extract_pages(df, wrappers=wrappers).collect()}
+    other = {r.page_id: r.text for r in op.extract_pages(df, wrappers=rigid).collect()}
+    assert {i for i in whole if whole[i] != other[i]} == set(range(0, 30, 3))
+    assert all("Buy" in other[i] and "Buy" not in whole[i] for i in range(0, 30, 3))
+
+
+def test_hot_host_is_merged_in_rounds(spark):
+    rng = random.Random(7)
+    rows = [(i, "http://hot.example.org/", unnamed(i, rng, "Buy"), "x", "y") for i in range(60)]
+    rows += [(i, f"http://h{i}.example.org/", unnamed(i, rng, "Buy"), "x", "y") for i in range(60, 65)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {r.host: op.infer([op.load(r.stream)]) for r in op.infer_wrappers(df, fan_in=2).collect()}
+    assert len(found) == 6
+    for _, url, source, _, _ in rows:
+        wrapper = found[url.split("/")[2]]
+        page = op.Page(source)
+        assert sorted(t for _, t in op.aligned(page, wrapper)) == sorted(page.texts)
+        assert all(at != op.OUTSIDE for at, _ in op.aligned(page, wrapper))
+
+
+def test_another_template_of_the_host_is_judged_by_itself():
+    stats = {(1, "div.a/p"): (False, 0.0, 9_000, False), (2, "div.b/p"): (False, 0.0, 900, True),
+             (3, "div.c/p"): (True, 0.0, 500, False)}
+    held = op.article(stats)
+    assert held == {(1, "div.a/p")}
+    page = [((2, "div.b/p"), "Text of the other template."), ((3, "div.c/p"), "fixed")]
+    assert op.chosen(page, stats, held) == ["Text of the other template."]
+    assert op.chosen([((3, "div.c/p"), "fixed")], stats, held) == ["fixed"]
+
+
 def test_empty_table(spark):
     assert op.extract_pages(spark.createDataFrame([], SCHEMA)).collect() == []
 

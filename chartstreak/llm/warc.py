@@ -14,16 +14,26 @@ payload against its digest and returns one capture run per file, sorted by
 
 ``merge_index`` is the external merge: boundaries from a sample of bounded size
 cut each sorted run into pieces, the pieces of a key range meet in one task and
-a loser tree merges them, however many there are. The boundaries include time
-and id, so one URL with a third of all captures still spreads over many
+a loser tree merges them, however many there are. The driver holds at most about
+``driver_marks`` sampled keys; where the captures need more ranges than these
+give, each range is cut again by its own marks, which stay in a table. A range
+thus holds about ``rows_per_shard`` captures at any size. The boundaries include
+time and id, so one URL with a third of all captures still spreads over many
 ranges. (``shard``, ``position``) is the global order of the capture histories.
 
+``offset`` and ``length`` count bytes of the archive's records. With
+``compression="none"`` they are places in the file itself, so ``read_record``
+reads a capture by them alone; a gzip archive is one stream per file and is read
+whole.
+
 Defined results: null html is an empty payload, null url an empty target; line
 ends in a url are written as %0D and %0A. Payloads below ``min_payload`` bytes
 are always responses. Rows that repeat the smallest page id of a payload are
 responses too; null ids sort behind all others. An empty table gives an empty
-archive and index. Other columns are not read. Files hold ``file_bytes`` of
-payload on average, at least one record each.
+archive and index. Other columns are not read. A capture time that is null is the
+epoch. Files hold ``file_bytes`` of payload on average, at least one record each:
+records are written in the order of their digests, so sizes are mixed as by
+chance and large pages that stand together in the input do not meet in a file.
 """
 
 from __future__ import annotations
@@ -45,6 +55,7 @@ EOL = "\r\n"
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+GZIP = b"\x1f\x8b"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 CAPTURE = ("page_id long, url string, url_key string, captured string, payload_bytes long, payload_digest string, "
@@ -69,17 +80,19 @@ def url_key(url: Column) -> Column:
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-               captured: Column | None = None, min_payload: int = 0, file_bytes: int = 32 << 20) -> int:
+               captured: Column | None = None, min_payload: int = 0, file_bytes: int = 32 << 20,
+               compression: str = "gzip") -> int:
     """Write the archive of ``pages`` below ``path``; returns the number of records."""
-    captured = captured if captured is not None else F.lit("1970-01-01T00:00:00Z")
+    epoch = F.lit("1970-01-01T00:00:00Z")
+    captured = epoch if captured is None else F.coalesce(captured.cast("string"), epoch)
     src = pages.select(F.col(quoted(id_col)).cast("long").alias("page_id"), text_of(url_col).alias("url"),
-                       text_of(html_col).alias("html"), captured.cast("string").alias("captured"))
+                       text_of(html_col).alias("html"), captured.alias("captured"))
     src = src.withColumn("digest", base32_sha1(F.encode("html", "UTF-8"))).withColumn("size", F.octet_length("html"))
     first = materialise(src.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"),
                                                   F.sum("size").alias("bytes")), "warc-digests")
     total = first.agg(F.sum("n"), F.sum("bytes")).first()
     n, size = total[0] or 0, total[1] or 0
-    rows = src.join(first.select("digest", "first_id"), "digest")
+    rows = src.join(first.select("digest", "first_id").hint("merge"), "digest")
     response = ((F.col("size") < min_payload) | F.col("page_id").eqNullSafe(F.col("first_id")))
     urn = lambda c: F.concat(F.lit("<urn:capture:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
     target = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
@@ -97,7 +110,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         F.octet_length(block).cast("string"), F.lit(EOL * 2))
     records = rows.select(F.concat(header, block).alias("value"))
     per_file = max(1, int(file_bytes * n / size)) if size else 1_000_000
-    (records.write.option("lineSep", EOL * 2).option("compression", "gzip")
+    (records.write.option("lineSep", EOL * 2).option("compression", compression)
      .option("maxRecordsPerFile", per_file).text(path))
     return n
 
@@ -139,12 +152,20 @@ def order(entry: tuple) -> tuple:
 def _runs(batches):
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
-            run = [_capture(path, *x) for x in parse_records(gzip.decompress(content))]
+            plain = gzip.decompress(content) if content[:2] == GZIP else content
+            run = [_capture(path, *x) for x in parse_records(plain)]
             run.sort(key=order)
             for i in range(0, len(run), 10_000):
                 yield _frame(run[i:i + 10_000])
 
 
+def read_record(file, offset: int, length: int) -> tuple[dict, bytes]:
+    """Headers and HTTP block of the record at ``offset`` of an open, uncompressed archive file."""
+    file.seek(offset)
+    (_, _, head, block), = parse_records(file.read(length))
+    return head, block
+
+
 def _frame(entries: list) -> pd.DataFrame:
     out = pd.DataFrame(entries, columns=ENTRY)
     for c in ("page_id", "refers_to"):
@@ -214,25 +235,54 @@ def _merge(key, frame: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def merge_index(captures: DataFrame, rows_per_shard: int = 20_000, max_shards: int = 10_000,
+def _cut_again(per: int):
+    def again(batches):
+        for frame in batches:
+            shards, pieces = [], []
+            for shard, piece, marks in zip(frame["shard"], frame["piece"], frame["marks"]):
+                marks = [(m["url_key"], m["captured"], m["missing"], m["id"]) for m in (() if marks is None else marks)]
+                bounds = [marks[i * len(marks) // per] for i in range(1, per)] if marks else []
+                parts: dict = {}
+                for e in piece:
+                    parts.setdefault(bisect_right(bounds, order(tuple(e[c] for c in ENTRY))[:4]), []).append(e)
+                shards += [shard * per + part for part in parts]
+                pieces += parts.values()
+            yield pd.DataFrame({"shard": shards, "piece": pieces})
+    return again
+
+
+def merge_index(captures: DataFrame, rows_per_shard: int = 20_000, driver_marks: int = 200_000,
                 marks_per_shard: int = 20) -> DataFrame:
     """Captures in global order of (URL key, time, id): columns ``shard``, ``position`` and the capture.
 
     The boundaries come from a sample of about ``marks_per_shard`` keys per
-    shard, at most ``marks_per_shard * max_shards`` keys on the driver.
+    shard. The driver takes about ``driver_marks`` of them at most and cuts the
+    captures into as many ranges as these allow; a range that is to be more
+    than one shard is cut by the marks of its own, joined by its number.
     """
     spark = captures.sparkSession
     workers_import_package(spark)
     captures = materialise(captures, "capture-runs")
     n = captures.count()
-    shards = max(1, min(max_shards, -(-n // rows_per_shard)))
-    want = shards * marks_per_shard
+    shards = max(1, -(-n // rows_per_shard))
+    ranges = min(shards, max(1, driver_marks // marks_per_shard))
+    per = -(-shards // ranges)
+    want = ranges * marks_per_shard
     bounds: list = []
-    if shards > 1:
+    if ranges > 1:
         sample = captures.select(*KEY).sample(fraction=min(1.0, want / n), seed=7).limit(2 * want).collect()
         marks = sorted((r[0], r[1], r[2] is None, r[2] or 0) for r in sample)
-        bounds = [marks[i * len(marks) // shards] for i in range(1, shards)] if marks else []
-    pieces = captures.mapInPandas(_cut(bounds), f"shard long, piece array<struct<{CAPTURE.replace(' ', ':').replace(',:', ',')}>>")
+        bounds = [marks[i * len(marks) // ranges] for i in range(1, ranges)] if marks else []
+    schema = f"shard long, piece array<struct<{CAPTURE.replace(' ', ':').replace(',:', ',')}>>"
+    pieces = captures.mapInPandas(_cut(bounds), schema)
+    if per > 1:
+        pieces = materialise(pieces, "capture-ranges")
+        mark = F.struct("url_key", "captured", F.col("page_id").isNull().alias("missing"),
+                        F.coalesce("page_id", F.lit(0)).alias("id"))
+        sample = pieces.select("shard", F.inline("piece")).sample(
+            fraction=min(1.0, shards * marks_per_shard / n), seed=11)
+        marks = sample.groupBy("shard").agg(F.sort_array(F.collect_list(mark)).alias("marks"))
+        pieces = pieces.join(marks, "shard", "left").mapInPandas(_cut_again(per), schema)
     return pieces.groupBy("shard").applyInPandas(_merge, f"shard long, position long, {CAPTURE}")
 
 

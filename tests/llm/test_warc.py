@@ -82,6 +82,55 @@ def test_hot_url_is_cut_by_time_and_id(spark):
     assert keys == sorted(keys)
 
 
+def test_ranges_are_cut_again_by_their_own_marks(spark):
+    rng = random.Random(2)
+    rows = [(i if i % 11 else None, "http://hot.example.org/" if rng.random() < 0.4 else f"http://h{i % 50}.example.org/",
+             f"p{i}") for i in range(400)]
+    captures = op.read_captures(spark, archive(spark, rows, file_bytes=200))
+    out = op.merge_index(captures, rows_per_shard=10, driver_marks=40).collect()
+    plain = op.merge_index(captures, rows_per_shard=10).collect()
+
+    def ordered(rows):
+        return [(r.url_key, r.captured, r.page_id is None, r.page_id or 0, r.payload_digest)
+                for r in sorted(rows, key=lambda r: (r.shard, r.position))]
+    sizes = {}
+    for r in out:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+    keys = [k[:4] for k in ordered(out)]
+    assert len(out) == 400 and keys == sorted(keys) and sorted(ordered(out)) == sorted(ordered(plain))
+    assert len(sizes) > 20 and max(sizes.values()) < 60
+
+
+def test_record_is_read_by_offset_alone(spark):
+    path = archive(spark, PAGES, compression="none", file_bytes=400)
+    captures = op.read_captures(spark, path).collect()
+    texts = {digest(html): (html or "").encode() for _, _, html in PAGES}
+    assert len(captures) == len(PAGES)
+    for r in captures:
+        with open(r.file.removeprefix("file:"), "rb") as f:
+            head, block = op.read_record(f, r.offset, r.length)
+        assert head["WARC-Target-URI"] == r.url and head["WARC-Type"] == r.record_type
+        payload = block.partition(b"\r\n\r\n")[2]
+        assert payload == (texts[r.payload_digest] if r.record_type == "response" else b"")
+
+
+def test_null_capture_time_is_the_epoch(spark):
+    path = archive(spark, PAGES[:3], captured=op.F.lit(None))
+    assert {r.captured for r in op.read_captures(spark, path).collect()} == {"1970-01-01T00:00:00Z"}
+
+
+def test_query_meets_revisits(spark, tmp_path):
+    import duckdb
+    rows = [(i, f"http://h{i % 3}.example.org/", ["<p>one</p>", "", None, f"<p>{i}</p>"][i % 4]) for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in op.op9_warc_index(spark, str(tmp_path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.execute(op.OP9_SQL).fetchall())
+    assert got == want and {r[3] for r in got} == {"response", "revisit"}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 20)), max_size=9))
 def test_loser_tree_merges(runs):

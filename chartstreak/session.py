@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,11 +71,16 @@ def _delete_at_end(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
 
 
+_open_scopes = threading.local()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder; removed when the application ends."""
     root = ensure_checkpoint_dir(spark)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     _delete_at_end(spark, path)
+    for made in getattr(_open_scopes, "lists", ()):
+        made.append(path)
     return path
 
 
@@ -91,6 +98,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make()`` returns, written and read back; the scratch tables made on the way are removed.
+
+    For an operator whose result is used more than once, or whose scratch
+    tables should not stay until the application ends. Tables made by other
+    threads (streams, pools) are left alone, and so is everything if ``make`` or
+    the write fails: a retry of the application may still read them.
+    """
+    made: list[str] = []
+    lists = _open_scopes.lists = getattr(_open_scopes, "lists", [])
+    lists.append(made)
+    try:
+        df = make()
+    finally:
+        lists.pop()
+    out = materialise(df, name)
+    for path in made:
+        remove_path(spark, path)
+    return out
+
+
 ROWS_PER_BATCH, BYTES_PER_BATCH = 1_000, 16 << 20
 
 

@@ -114,3 +114,37 @@ def test_no_local_scratch_on_a_cluster(master):
                 return None
     with pytest.raises(ValueError if master.startswith("spark") else InterruptedError):
         ensure_checkpoint_dir(Session)
+
+
+def test_scratch_tables_go_with_the_finished_result(spark):
+    from chartstreak.session import finished, materialise
+    paths = []
+
+    def files(df):
+        return [f.removeprefix("file://") for f in df.inputFiles()]
+
+    def inner():
+        left = materialise(spark.range(10), "scratch-inner")
+        paths.extend(files(left))
+        return left.where("id % 2 = 0")
+
+    def outer():
+        kept = finished(spark, inner, "scratch-middle")
+        assert kept.count() == 5 and not any(os.path.exists(p) for p in paths)
+        paths.extend(files(kept))
+        return kept.selectExpr("id + 1 as id")
+
+    before = materialise(spark.range(3), "scratch-before")
+    out = finished(spark, outer, "scratch-result")
+    assert sorted(r.id for r in out.collect()) == [1, 3, 5, 7, 9]
+    assert len(paths) >= 2 and not any(os.path.exists(p) for p in paths)
+    assert before.count() == 3
+
+    def failing():
+        paths[:] = files(materialise(spark.range(4), "scratch-failing"))
+        raise ValueError("no result")
+
+    with pytest.raises(ValueError):
+        finished(spark, failing, "scratch-none")
+    assert paths and all(os.path.exists(p) for p in paths)
+    assert materialise(spark.range(2), "scratch-after").count() == 2

@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its output is
 written to the shared folder as Parquet and read back as the next stage's
-documents. All stages but the last return the columns of ``documents``.
+documents. All stages but the last return the columns of ``documents``. A stage's
+scratch tables are removed once its output is written.
 
 1. language ID: documents whose language is ``und`` go (no letter, or hardly
    any n-gram of a learned language). The model learns from the labelled
@@ -28,7 +29,7 @@ from chartstreak.llm.language_id import keep_known_languages, learn
 from chartstreak.llm.minhash_dedup import drop_near_duplicates
 from chartstreak.llm.packing import pack_documents
 from chartstreak.llm.substring_dedup import remove_repeats
-from chartstreak.session import materialise
+from chartstreak.session import finished
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,5 +70,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = finished(spark, lambda: stage(spark, docs, sf_dir), f"stage-{name}")  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)

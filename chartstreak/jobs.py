@@ -5,6 +5,8 @@ JSON files, with the counters (valid, parsed, hits) observed on the way.
 ``streaming_ml_job``: JSON files arriving in a folder -> per-country
 micro-batches -> gates, K-Means on hits, forest per country, importance
 documents, predictions and a report per country.
+``windowed_ml_job``: the same training, once per window of a country instead of
+per micro-batch.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from chartstreak.session import materialise, remove_path
 from chartstreak.sources import json_io
 from chartstreak.sources.csv_ingest import ingest_chart_csv
 from chartstreak.streaming import stream as st
+from chartstreak.streaming import windows as tw
 
 
 @dataclass
@@ -90,3 +93,24 @@ def streaming_ml_job(spark: SparkSession, input_dir: str, output_root: str,
     _, q = st.country_batches(spark, st.file_stream(spark, input_dir, LABELLED_SCHEMA, None),
                               available_now=available_now, train=train)
     return q
+
+
+def windowed_ml_job(spark: SparkSession, input_dir: str, output_root: str, delay_ms: int = tw.DELAY_MS,
+                    available_now: bool = False, params: forest.ForestParams | None = None,
+                    max_files_per_trigger: int | None = None, clock=tw.wall_clock):
+    """Job 2 with a timer per country: each (country, window) is trained once and has one report.
+
+    A country has one open window at a time, so the windows that one batch fires
+    are of different countries and train together. A batch's reports lie below
+    ``reports/batchId=N`` with their ``windowEnd``, and a replay replaces them.
+    Returns (windows, query); after a drain ``windows.finish(LABELLED_SCHEMA)``
+    hands over what is still open.
+    """
+    def train(rows: DataFrame, batch_id: int) -> None:
+        ends = rows.groupBy("country").agg(F.max("windowEnd").alias("windowEnd"))
+        report = train_countries(spark, rows.drop("windowEnd"), output_root, params, f"made/batchId={batch_id}")
+        report.join(ends, "country").write.mode("overwrite").json(f"{output_root}/reports/batchId={batch_id}")
+        remove_path(spark, f"{output_root}/made/batchId={batch_id}")
+
+    source = st.file_stream(spark, input_dir, LABELLED_SCHEMA, max_files_per_trigger)
+    return tw.training_windows(spark, source, train, delay_ms, available_now, root=f"{output_root}/windows", clock=clock)

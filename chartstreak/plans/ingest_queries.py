@@ -135,17 +135,25 @@ def q_trim_fields(spark, sf_dir):
                     java_trim(F.col("fields")[3]).alias("rankTrimmed"))
 
 
-@register("pipeline_counters", with_chart(
-    f"""select l.lines, l.validRecords, l.parsedRecords, h.hitSongsRecords
-        from (select count(*) as lines, count_if(valid) as validRecords, count_if(parsed) as parsedRecords
-              from line_outcome) l,
-             (select count(*) as hitSongsRecords from hits) h""",
-    extra=LINES_SQL + "," + PARSED_CHART_SQL.replace("coded as", "coded2 as").replace(
-        "from coded where", "from coded2 where") + "," + hits_sql(TOP_N, RUN_DAYS, "parsed_chart")))
-def q_pipeline_counters(spark, sf_dir):
-    """A1: lines, valid, parsed, and hits detected on the parsed rows."""
-    ing = _ingest(spark, sf_dir, corrupt=True)
-    hits = streaks.detect_hits(ing.rows).agg(F.count(F.lit(1)).alias("hitSongsRecords"))
+def counters_sql(top_n: int, run: int, wide: bool = False) -> str:
+    parsed = PARSED_CHART_SQL.replace("coded as", "coded2 as").replace("from coded where", "from coded2 where")
+    return with_chart(
+        """select l.lines, l.validRecords, l.parsedRecords, h.hitSongsRecords
+           from (select count(*) as lines, count_if(valid) as validRecords, count_if(parsed) as parsedRecords
+                 from line_outcome) l,
+                (select count(*) as hitSongsRecords from hits) h""",
+        wide=wide, extra=LINES_SQL + "," + parsed + "," + hits_sql(top_n, run, "parsed_chart"))
+
+
+def counted(ing, top_n: int, run: int):
+    """One row: lines, valid, parsed, and hits detected on the parsed rows."""
+    hits = streaks.detect_hits(ing.rows, top_n, run).agg(F.count(F.lit(1)).alias("hitSongsRecords"))
     names = ["lines", "validRecords", "parsedRecords", "hitSongsRecords"]
     both = counters(ing.lines).unionByName(hits, allowMissingColumns=True)
     return both.agg(*[F.sum(n).alias(n) for n in names])
+
+
+@register("pipeline_counters", counters_sql(TOP_N, RUN_DAYS))
+def q_pipeline_counters(spark, sf_dir):
+    """A1: lines, valid, parsed, and hits detected on the parsed rows."""
+    return counted(_ingest(spark, sf_dir, corrupt=True), TOP_N, RUN_DAYS)

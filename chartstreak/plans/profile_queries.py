@@ -136,17 +136,17 @@ def q_feature_vector(spark, sf_dir):
 
 @register("describe_bands", with_chart(
     f"select {ROW_ID_SQL}, " + ", ".join(f"{v} as {k}" for k, v in bands_sql(_fa).items()) + " from chart"))
-def q_describe_bands(spark, sf_dir):
+def q_describe_bands(spark, sf_dir, wide=False):
     """F11-F19 on every chart row."""
-    chart = load_chart(spark, sf_dir).withColumn("_f", feature_array())
+    chart = load_chart(spark, sf_dir, wide=wide).withColumn("_f", feature_array())
     return flat(chart.select(*ROW_ID, *[c.alias(k) for k, c in pf.band_columns(F.col("_f")).items()]))
 
 
 @register("short_summary", with_chart(
     f"select {ROW_ID_SQL}, {summary_sql(_fa)} as summary from chart"))
-def q_short_summary(spark, sf_dir):
+def q_short_summary(spark, sf_dir, wide=False):
     """F22-F26 on every chart row."""
-    chart = load_chart(spark, sf_dir)
+    chart = load_chart(spark, sf_dir, wide=wide)
     return flat(chart.select(*ROW_ID, pf.short_summary(feature_array()).alias("summary")))
 
 
@@ -155,9 +155,9 @@ def q_short_summary(spark, sf_dir):
           {rnd(_fa('durationSeconds'), 1)} as durationSec, {rnd(_fa('durationSeconds') + ' / 60', 1)} as durationMin,
           {rnd(_fa('mode') + ' * 100', 0)} as majorPct, {profile_text_sql(_fa)} as profile
         from chart"""))
-def q_song_profile(spark, sf_dir):
+def q_song_profile(spark, sf_dir, wide=False):
     """F20 + F21: printed numbers and the full 14-line profile of every row."""
-    chart = load_chart(spark, sf_dir).withColumn("_f", feature_array())
+    chart = load_chart(spark, sf_dir, wide=wide).withColumn("_f", feature_array())
     nums = [c.alias(k) for k, c in pf.profile_numbers(F.col("_f")).items()]
     return flat(chart.select(*ROW_ID, *nums, pf.profile_text(F.col("_f")).alias("profile")))
 

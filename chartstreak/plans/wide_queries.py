@@ -11,10 +11,11 @@ from chartstreak.functions.features import feature_columns, label_column
 from chartstreak.operators import classify, streaks
 from chartstreak.operators import importance as imp
 from chartstreak.plans.common import chart_cols_sql, flat, hits_sql, labelled_sql, with_chart
-from chartstreak.plans.ingest_queries import PARSED_CHART_SQL, _CLEAN_SQL
+from chartstreak.plans import profile_queries as prof
+from chartstreak.plans.ingest_queries import PARSED_CHART_SQL, _CLEAN_SQL, LINES_SQL, counted, counters_sql
 from chartstreak.plans.json_queries import _raw_sql
 from chartstreak.plans.profile_queries import ROW_ID_SQL, _fa
-from chartstreak.plans.queries import _label_sql, labelled, register
+from chartstreak.plans.queries import REGISTRY, _label_sql, labelled, register
 from chartstreak.schemas import FEATURE_NAMES, LABELLED_SCHEMA
 from chartstreak.session import shared_path
 from chartstreak.sources import json_io
@@ -53,6 +54,27 @@ def q_strict_parse_wide(spark, sf_dir):
     return flat(_ingest(spark, sf_dir, corrupt=True).rows)
 
 
+@register("pipeline_counters_wide", counters_sql(TOP, RUN, wide=True))
+def q_pipeline_counters_wide(spark, sf_dir):
+    return counted(_ingest(spark, sf_dir, corrupt=True), TOP, RUN)
+
+
+@register("reject_rows_wide", with_chart(
+    """select lineCountry, reason, count(*) as lines from line_outcome
+       where reason is not null group by lineCountry, reason""", wide=True, extra=LINES_SQL))
+def q_reject_rows_wide(spark, sf_dir):
+    rejects = _ingest(spark, sf_dir, corrupt=True).lines.where(F.col("reason").isNotNull())
+    return rejects.groupBy(F.col("fields")[6].alias("lineCountry"), "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+for _name, _query in (("describe_bands", prof.q_describe_bands), ("short_summary", prof.q_short_summary),
+                      ("song_profile", prof.q_song_profile)):
+    @register(f"{_name}_wide", _wide(REGISTRY[_name][1]))
+    def q_profile_wide(spark, sf_dir, query=_query):
+        """F11-F26 on every row of the wide chart."""
+        return query(spark, sf_dir, wide=True)
+
+
 @register("hit_detect_wide", with_chart(
     f"select {chart_cols_sql()}, consecutiveHitDaysCount, consecutiveHitDaysList, hit from hits", wide=True, extra=HITS))
 def q_hit_detect_wide(spark, sf_dir):

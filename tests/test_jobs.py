@@ -116,6 +116,31 @@ def test_no_local_scratch_on_a_cluster(master):
         ensure_checkpoint_dir(Session)
 
 
+def test_windowed_job_trains_each_window_once(spark, tmp_path):
+    from chartstreak.schemas import LABELLED_SCHEMA
+    rows = labelled(spark, SF01).withColumn("part", F.abs(F.hash("spotifyId")) % 3)
+    src, root, times = str(tmp_path / "in"), str(tmp_path / "ml"), [0, 10, 50, 60]
+    os.makedirs(src)
+    parts = [rows.where(F.col("part") == i).drop("part") for i in range(3)]
+    for i, part in enumerate(parts):
+        made = str(tmp_path / f"made-{i}")
+        json_io.write_json_lines(part.coalesce(1), made)
+        (name,) = [f for f in os.listdir(made) if f.startswith("part-")]
+        os.rename(f"{made}/{name}", f"{src}/{i}.json")
+        os.utime(f"{src}/{i}.json", (1_000_000 + i, 1_000_000 + i))
+    windows, q = jobs.windowed_ml_job(spark, src, root, delay_ms=30, available_now=True, params=SMALL,
+                                      max_files_per_trigger=1, clock=lambda batch, n: times[n])
+    st.drain(q)
+    windows.finish(LABELLED_SCHEMA)
+    reports = spark.read.json(f"{root}/reports").collect()
+    # files 0 and 1 arrive within the first window (ends at 30); file 2 at 50 opens the next one
+    counts = {(r["country"], r["first"]): (r["n"], r["h"]) for r in rows.groupBy(
+        "country", (F.col("part") < 2).alias("first")).agg(F.count("*").alias("n"), F.count_if("hit").alias("h")).collect()}
+    got = {(r["country"], r["windowEnd"] == 30): (r["records"], r["hits"]) for r in reports}
+    assert len(reports) == len(got) and got == counts
+    assert not os.listdir(f"{root}/made")
+
+
 def test_scratch_tables_go_with_the_finished_result(spark):
     from chartstreak.session import finished, materialise
     paths = []

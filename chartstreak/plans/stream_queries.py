@@ -112,7 +112,8 @@ def _label_growing(spark, chart, top_n, run):
 
     def step():
         stream = st.file_stream(spark, src, max_files_per_trigger=None)
-        _, q = growing.growing_label_stream(spark, stream, top_n, run, root=root, compact_every=3)
+        # the derived chart is grouped by country, song and day
+        _, q = growing.growing_label_stream(spark, stream, top_n, run, root=root, one_row_a_day=True, compact_every=3)
         st.drain(q)
     arrive(chart, _week(), src, step)
     return flat(growing.GrowingLabels(spark, root).labelled())

@@ -11,6 +11,10 @@ earlier versions, so it labels alike.
 Every ``compact_every`` batches the versions so far become one snapshot, so a long
 stream does not read more and more files. The hits are broadcast only under a byte
 bound; above it the join shuffles.
+
+Where a key has one row a day, only top rows can change its state: a row behind
+``top_n`` would take out its day, which no other row has put in. Such rows go to the
+batch beside the detector, so that its work grows with the top rows, not with all.
 """
 
 from __future__ import annotations
@@ -45,11 +49,21 @@ class RowsAndHits(st.HitStreaks):
                 lists, index=frame.index, dtype=object)})
 
 
-def marked_stream(stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS) -> DataFrame:
-    """Every chart row; a key's trigger row with its count and list (append mode, needs the RocksDB provider)."""
+def marked_stream(stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS, one_row_a_day: bool = False) -> DataFrame:
+    """Every chart row; a key's trigger row with its count and list (append mode, needs the RocksDB provider).
+
+    ``one_row_a_day``: the stream holds at most one row of a key and day, so that only
+    top rows need the keyed state; without it every row passes the detector.
+    """
     workers_import_package(stream.sparkSession)
-    return stream.select(*CHART_FIELDS).groupBy(*KEY).transformWithStateInPandas(
+    rows = stream.select(*CHART_FIELDS)
+    behind = F.coalesce(F.col("dailyRank") > top_n, F.lit(False))
+    marked = (rows.where(~behind) if one_row_a_day else rows).groupBy(*KEY).transformWithStateInPandas(
         statefulProcessor=RowsAndHits(top_n, run), outputStructType=MARKED_SCHEMA, outputMode="Append", timeMode="None")
+    if not one_row_a_day:
+        return marked
+    return marked.unionByName(rows.where(behind).select(
+        "*", *[F.lit(None).cast(MARKED_SCHEMA[c].dataType).alias(c) for c in (COUNT, LIST)]))
 
 
 class GrowingLabels:
@@ -111,9 +125,10 @@ class GrowingLabels:
 
 
 def growing_label_stream(spark: SparkSession, stream: DataFrame, top_n: int = TOP_N, run: int = RUN_DAYS,
-                         available_now: bool = True, root: str | None = None, **how) -> tuple[GrowingLabels, object]:
+                         available_now: bool = True, root: str | None = None, one_row_a_day: bool = False,
+                         **how) -> tuple[GrowingLabels, object]:
     """Start the stream below ``root`` (outputs and checkpoint; the same root goes on where it stopped)."""
     labels = GrowingLabels(spark, root or shared_path(spark, "growing-labels"), **how)
-    writer = marked_stream(stream, top_n, run).writeStream.foreachBatch(labels.on_batch).option(
+    writer = marked_stream(stream, top_n, run, one_row_a_day).writeStream.foreachBatch(labels.on_batch).option(
         "checkpointLocation", f"{labels.root}/checkpoint")
     return labels, st._start(writer, available_now)

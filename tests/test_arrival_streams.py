@@ -12,7 +12,7 @@ from chartstreak.operators import classify, streaks
 from chartstreak.operators.label import label
 from chartstreak.plans.queries import labelled
 from chartstreak.plans.stream_queries import arrive
-from chartstreak.schemas import CHART_FIELDS, LABELLED_SCHEMA
+from chartstreak.schemas import CHART_FIELDS, CHART_SCHEMA, LABELLED_SCHEMA
 from chartstreak.session import shared_path
 from chartstreak.sources.chart import load_chart
 from chartstreak.sources.json_io import JSON_OPTIONS
@@ -99,6 +99,31 @@ def test_growing_labels_go_on_after_a_restart(spark, chart):
     assert {(r.country, r.spotifyId, r.snapshotDate) for r in got.where("hit").collect()} == want and want
 
 
+def test_only_top_rows_take_state_where_a_key_has_one_row_a_day(spark):
+    st.use_rocksdb(spark)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 60).cast("int"))
+    song = F.col("id") % 60
+    rank = ((song + F.col("id") / 60 * 3).cast("int") % 60 + 1).cast("int")      # songs fall three ranks a day
+    made = {"spotifyId": F.concat(F.lit("S"), song), "name": F.lit("n"), "country": F.lit("c"), "dailyRank": rank,
+            "snapshotDate": day}
+    chart = spark.range(60 * 8).select(*[made.get(f.name, F.lit(1)).cast(f.dataType).alias(f.name)
+                                         for f in CHART_SCHEMA]).checkpoint(eager=True)
+    part, labels, state = F.datediff("snapshotDate", F.lit("2024-01-01")), {}, {}
+    for one in (False, True):
+        src, root = shared_path(spark, "one-in"), shared_path(spark, "one-run")
+
+        def step():
+            run, q = growing.growing_label_stream(spark, st.file_stream(spark, src, max_files_per_trigger=None), 10, 2,
+                                                  root=root, one_row_a_day=one)
+            st.drain(q)
+            labels[one], state[one] = run.labelled(), q.lastProgress["stateOperators"][0]["numRowsTotal"]
+        arrive(chart, (part / 4).cast("int"), src, step)
+    assert as_set(labels[True]) == as_set(labels[False])
+    assert labels[True].count() == 480 and 0 < labels[True].where("hit").count() < 480
+    top = chart.where("dailyRank <= 10").select("spotifyId").distinct().count()
+    assert state[True] == top < state[False] == 60
+
+
 # --- T1 -----------------------------------------------------------------------
 
 def test_two_windows_of_a_country_train_twice(spark):

@@ -18,7 +18,6 @@ from chartstreak.session import shared_path
 
 # --- fixed values: corpus layout --------------------------------------------
 N_CODES = 20
-FILES = 4
 HEADER = ("spotify_id,name,artists,daily_rank,daily_movement,weekly_movement,country,"
           "snapshot_date,popularity,is_explicit,duration_ms,album_name,album_release_date,"
           "danceability,energy,key,loudness,mode,speechiness,acousticness,instrumentalness,"
@@ -109,13 +108,15 @@ def write_chart_csv(spark: SparkSession, chart: DataFrame, corrupt: bool = False
                     path: str | None = None) -> str:
     """Write the lines as text under the shared folder; return the path.
 
-    Every file gets the header as its first line (a marked row per partition
-    that holds rows sorts before the partition's lines).
+    Every task writes its own lines as one file, with no shuffle or sort: files
+    grow in number with the chart's partitions, and a task holds one row at a
+    time. The first line of each file is the header, set before the line that is
+    the first of its partition.
     """
     path = path or shared_path(spark, "chart-csv")
-    lines = chart_csv_lines(chart, corrupt).withColumn("_part", F.pmod(F.hash("value"), F.lit(FILES)))
-    heads = lines.select("_part").distinct().select(F.lit(HEADER).alias("value"), "_part", F.lit(0).alias("_at"))
-    (heads.unionByName(lines.withColumn("_at", F.lit(1)))
-     .repartition(FILES, "_part").sortWithinPartitions("_part", "_at")
-     .select("value", "_part").write.mode("overwrite").partitionBy("_part").text(path))
+    row_of_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    (chart_csv_lines(chart, corrupt)
+     .select(F.when(row_of_partition == 0, F.concat_ws("\n", F.lit(HEADER), "value")).otherwise(F.col("value"))
+             .alias("value"))
+     .write.mode("overwrite").option("maxRecordsPerFile", 0).text(path))
     return path

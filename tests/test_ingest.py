@@ -3,7 +3,10 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from chartstreak.schemas import CHART_SCHEMA
+from chartstreak.sources.chart_csv import HEADER, chart_csv_lines, write_chart_csv
 from chartstreak.sources.csv_ingest import classify_lines, ingest_chart_csv
 
 
@@ -111,3 +114,44 @@ def test_fields_are_split_once(spark, tmp_path):
     for df in (ing.rows, ing.rejects):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("regexp_extract_all(") == 1
+
+
+def chart_rows(spark, n):
+    """Rows of a chart; every one's defect code is 15 (an empty line) where ``id % 4`` is 0."""
+    values = {"string": F.lit("S"), "integer": F.lit(1), "bigint": F.lit(1), "double": F.lit(0.5),
+              "boolean": F.lit(True), "date": F.lit("2024-01-08").cast("date")}
+    cols = [values[f.dataType.typeName().replace("long", "bigint")].cast(f.dataType).alias(f.name)
+            for f in CHART_SCHEMA if f.name not in ("name", "dailyRank")]
+    rank = F.when(F.col("id") % 4 == 0, 1).otherwise(4).cast("int")
+    return spark.range(0, n, 1, 9).select(
+        F.concat(F.lit("Song "), F.col("id")).alias("name"), rank.alias("dailyRank"), *cols).select(*CHART_SCHEMA.names)
+
+
+@pytest.mark.parametrize("corrupt", [False, True])
+def test_each_task_writes_its_lines_as_a_file_with_a_header(spark, tmp_path, corrupt):
+    chart = chart_rows(spark, 900)
+    path = write_chart_csv(spark, chart, corrupt=corrupt, path=str(tmp_path / "csv"))
+    files = [f.read_text().split("\n")[:-1] for f in (tmp_path / "csv").rglob("*.txt")]
+    assert len(files) == 9                           # as many as the chart has partitions, not a fixed number
+    assert all(f[0] == HEADER and HEADER not in f[1:] and len(f) == 101 for f in files)
+    want = sorted(r[0] for r in chart_csv_lines(chart, corrupt).collect())
+    assert sorted(v for f in files for v in f[1:]) == want
+    assert sum(not v for v in want) == (225 if corrupt else 0)
+    ing = ingest_chart_csv(spark, path)
+    assert sorted(r[0] for r in ing.lines.select("value").collect()) == want
+
+
+def test_no_shuffle_gathers_the_lines(spark, tmp_path):
+    jvm = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("csv-write", "csv")
+    try:
+        write_chart_csv(spark, chart_rows(spark, 900), path=str(tmp_path / "csv"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [jvm.getStageInfo(s).numTasks for j in jvm.getJobIdsForGroup("csv-write") for s in jvm.getJobInfo(j).stageIds]
+    assert stages == [9]
+
+
+def test_empty_chart(spark, tmp_path):
+    path = write_chart_csv(spark, chart_rows(spark, 0), path=str(tmp_path / "csv"))
+    assert ingest_chart_csv(spark, path).lines.count() == 0

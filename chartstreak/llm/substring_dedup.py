@@ -11,8 +11,10 @@ cut. A unit at the end of a passage that also holds other words does not match;
 matches are not extended word by word, so such words stay, and so does a passage
 of which fewer than ``span`` whole units or ``least_words`` words match. Every run of
 ``span`` consecutive sentences is hashed (words only, so white space does not
-matter). Spark finds the runs that occur more than once: a partially aggregated
-first occurrence per hash, and a join back that marks every other occurrence.
+matter). Spark finds the occurrences that are not the first of their run: equal runs
+of one batch of rows meet where they are hashed, and all but the first of them are
+known to be later ones there. The first of each batch meet by one shuffle and are
+numbered in order. A run that stands in every text is so one row per batch there.
 Sentences covered by a run that is not the first go, if the covered stretch has
 at least ``least_words`` words; shorter stretches (a common line) stay.
 
@@ -23,7 +25,7 @@ unchanged, white space included; a text without repeats is returned as it is.
 A text is told from another by its id and the 128 bits of its digest, a run by 128 bits
 of its words: at 10^12 runs a false match has odds of one in 10^14.
 
-Only hashes and positions are shuffled by hash. Positions of one text are
+Only hashes and positions are shuffled by hash, once. Positions of one text are
 gathered per text, so a group is never larger than one text. Texts are shuffled
 once, to meet their covered positions.
 
@@ -41,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartstreak.llm.common import fresh, quoted, table, text_of
@@ -140,10 +142,21 @@ def _hashes(span: int):
     def hashes(batches):
         for frame in batches:
             found = [span_hashes(t, span) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "code": frame["code"],
+            sizes = np.array([len(x) for x in found], np.int64)
+            both, ends = np.concatenate([np.empty((0, 2), np.int64), *found]), np.cumsum(sizes)
+            row = np.repeat(np.arange(len(found)), sizes)
+            place = (np.arange(len(row)) - (ends - sizes)[row]).astype(np.int32)
+            # equal runs side by side in order of their rows' ids; the sort leaves rows and places of one id in order
+            order = np.lexsort((frame["doc_id"].to_numpy()[row], frame["has_id"].to_numpy()[row], both[:, 1], both[:, 0]))
+            again = np.zeros(len(row), bool)
+            again[order[1:]] = (both[order[1:]] == both[order[:-1]]).all(axis=1)
+            texts = [(slice(end - n, end), ~again[end - n:end]) for n, end in zip(sizes, ends)]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "has_id": frame["has_id"], "code": frame["code"],
                                 "number": frame["number"],
-                                "spans": [np.ascontiguousarray(x[:, 0]) for x in found],
-                                "more": [np.ascontiguousarray(x[:, 1]) for x in found]})
+                                "spans": [both[at, 0][new] for at, new in texts],
+                                "more": [both[at, 1][new] for at, new in texts],
+                                "places": [place[at][new] for at, new in texts],
+                                "known": [place[at][~new] for at, new in texts]})
     return hashes
 
 
@@ -156,20 +169,22 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, span: int) -> Dat
     """(doc_id, code, runs): positions of the runs that are not the first of their kind, per text."""
     workers_import_package(docs.sparkSession)
     text = text_of(text_col)
-    src = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), _code(text).alias("code"),
+    id_ = F.col(quoted(id_col)).cast("long")
+    src = docs.select(F.coalesce(id_, F.lit(0)).alias("doc_id"), id_.isNotNull().alias("has_id"), _code(text).alias("code"),
                       F.monotonically_increasing_id().alias("number"), text.alias("text"))
     spans = materialise(src.mapInPandas(
-        _hashes(span), "doc_id long, code binary, number long, spans array<long>, more array<long>"), "spans")
+        _hashes(span), "doc_id long, has_id boolean, code binary, number long, spans array<long>, more array<long>, "
+                       "places array<int>, known array<int>"), "spans")
+    spans = spans.withColumn("doc_id", F.when(F.col("has_id"), F.col("doc_id")))
     # a row stands by its written number; rows of one id and text by the smallest of theirs
     heads = spans.groupBy("doc_id", "code").agg(F.min("number").alias("number"))
-    rows = spans.select("doc_id", "number", F.posexplode(F.arrays_zip("spans", "more")).alias("pos", "both"))
-    rows = rows.select("doc_id", "number", "pos", F.col("both.spans").alias("span"), F.col("both.more").alias("more"))
-    place = F.struct("doc_id", "number", "pos")
-    first = rows.groupBy("span", "more").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
-    # written first, so that the join stands between plain exchanges and Spark can split a frequent span
-    first = materialise(first.select("span", "more", "first"), "repeated-spans").hint("merge")
-    later = rows.join(first, ["span", "more"]).where(place != F.col("first"))
-    runs = later.groupBy("number").agg(F.collect_set("pos").alias("runs"))
+    rows = spans.select("doc_id", "number", F.explode(F.arrays_zip("spans", "more", "places")).alias("run"))
+    rows = rows.select("doc_id", "number", F.col("run.spans").alias("span"), F.col("run.more").alias("more"),
+                       F.col("run.places").alias("pos"))
+    nth = F.row_number().over(Window.partitionBy("span", "more").orderBy("doc_id", "number", "pos"))
+    later = rows.select("number", "pos", nth.alias("nth")).where("nth > 1").select("number", "pos")
+    known = spans.select("number", F.explode("known").alias("pos"))
+    runs = later.union(known).groupBy("number").agg(F.collect_set("pos").alias("runs"))
     return heads.join(runs, "number").select("doc_id", "code", "runs")
 
 

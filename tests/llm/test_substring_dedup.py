@@ -121,3 +121,46 @@ def test_shortest_stretches_go_too(spark):
     rows, _ = corpus(5)
     out = {r.doc_id: r.text for r in op.remove_repeats(spark.createDataFrame(rows, SCHEMA), least_words=1).collect()}
     assert out == brute(rows, least=1) != brute(rows)
+
+
+def test_runs_are_shuffled_once(spark):
+    rows, _ = corpus()
+    runs = op.repeated_runs(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", 3)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(span#") == 1
+
+
+def test_a_run_of_many_texts_leaves_its_batch_once():
+    import pandas as pd
+    text = "One two three. Four five. Six. " * 3
+    frame = pd.DataFrame({"doc_id": [5, 4, 0, 4], "has_id": [True, True, False, True], "code": [b""] * 4,
+                          "number": [0, 1, 2, 3], "text": [text, text, text, "Alone here. " + text]})
+    out, = op._hashes(3)([frame])
+    runs = [list(zip(*both)) for both in zip(out["spans"], out["more"])]
+    # the row without an id comes first; its first three runs repeat inside it
+    assert [list(p) for p in out["places"]] == [[], [], [0, 1, 2], [0]]
+    assert [list(k) for k in out["known"]] == [[*range(7)], [*range(7)], [3, 4, 5, 6], [*range(1, 8)]]
+    assert len({r for here in runs for r in here}) == sum(map(len, runs)) == 4
+
+
+def test_order_of_rows_does_not_hang_on_batches(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    sentence = lambda: " ".join(word() for _ in range(8)) + "."
+    passage = "\n".join(sentence() for _ in range(8))
+    big = 1 << 60
+    ids = [big + 2, 7, big + 1, None, -5, big + 2]
+    own = [sentence() for _ in ids]
+    rows = [(i, f"{o}\n{passage}", 1, "x") for i, o in zip(ids, own)] + [(7, f"{own[1]}\n{passage}", 1, "x")]
+    conf, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get(
+        "spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 2, 1000):
+            spark.conf.set(conf, size)
+            for keep in (rows, rows[:3] + rows[4:]):
+                out = op.remove_repeats(spark.createDataFrame(keep, SCHEMA).coalesce(1)).collect()
+                with_passage = [r.doc_id for r in out if passage in r.text]
+                assert with_passage == ([None] if keep is rows else [-5]), size
+                assert sorted(r.text.split("\n")[0] for r in out) == sorted(r[1].split("\n")[0] for r in keep)
+    finally:
+        spark.conf.set(conf, before)
